@@ -1,0 +1,19 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+
+from tallybook.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session("tests", master="local[8]", conf={
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.driver.bindAddress": "127.0.0.1"})
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
