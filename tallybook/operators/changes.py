@@ -14,11 +14,14 @@ def flatten_changes(envelopes: DataFrame, row: T.StructType, keys: list[str],
                     source_fields: list[str] | None = None) -> DataFrame:
     """Parse ``value`` and lift ``after.*``, the source fields and ``before_<key>`` to the top.
 
-    Unreadable messages give a row of nulls, which every later filter leaves out.
+    Unreadable messages give a row of nulls, which every later filter leaves out. The parsed message
+    goes through ``explode`` of a one-element array: filters on its fields then stay above it, where
+    otherwise each would be pushed below and parse the message again.
     """
     sources = source_fields or ["ts_ms"]
     others = [c for c in envelopes.columns if c != "value"]
-    parsed = envelopes.select(*others, F.from_json("value", envelope_schema(row, sources)).alias("data"))
+    message = F.from_json("value", envelope_schema(row, sources, before=keys))
+    parsed = envelopes.select(*others, F.explode(F.array(message)).alias("data"))
     return parsed.select(
         *others,
         *[F.col(f"data.payload.after.{c}").alias(c) for c in row.names],

@@ -13,6 +13,7 @@ from tallybook.operators.measures import (append_summary, complete_rows, summary
 from tallybook.operators.merge import exclude_prefix, merge_changes
 from tallybook.operators.statements import clean_cells, line_items, pivot_cells
 from tallybook.schemas import MEASURES, SUMMARY_LABEL, TRAILING_LABEL, statement_schema
+from tallybook.session import materialise
 from tallybook.sources.pages import page_tables, table_cells
 
 MULTI_KEYS = ["date", "company_name"]
@@ -38,10 +39,11 @@ def statement_summary(envelopes: DataFrame, existing: DataFrame, decimals: int |
                       **settings) -> DataFrame:
     """Statements of one company with a closing row of means; incomplete rows left out.
 
-    The means cover rows that are incomplete elsewhere too: they are taken before the filter.
+    The means cover rows that are incomplete elsewhere too: they are taken before the filter. The
+    merged rows are written once, since both the detail and the means read them.
     """
     merged = merged_statements(envelopes, existing, ["date"], keep_existing=False, **settings)
-    detail = exclude_prefix(merged, "date", TRAILING_LABEL)
+    detail = materialise(exclude_prefix(merged, "date", TRAILING_LABEL), "merged-statements")
     summed = append_summary(detail, "date", MEASURES, decimals)
     return summary_last(complete_rows(summed, ["date", *MEASURES]), period_start(F.col("date")))
 
@@ -63,9 +65,12 @@ def load_statements(pages: DataFrame, section_id: str, labels: list[str] | None
                     company: str = "company_name") -> DataFrame:
     """Statement tables of all pages as one table: a row per company and period.
 
-    Without ``labels`` the line items are read from the pages first, which scans them once more.
+    Without ``labels`` the columns are the line items found on the pages. The parsed cells are then
+    written once, so that the pages are not parsed a second time.
     """
     cells = clean_cells(table_cells(page_tables(pages, [company], section_id), [company]))
+    if labels is None:
+        cells = materialise(cells, "statement-cells")
     names = labels if labels is not None else line_items(cells)
     return pivot_cells(cells, [company], names).fillna(0, subset=names)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_per_key, resolve_changes,
                                          upserts)
@@ -13,9 +14,9 @@ from tallybook.queries.inputs import (CUT_MS, EVENT_KEYS, EVENT_ROW, EVENTS_SQL,
 PAYLOAD = ["event_type", "value"]
 
 
-def flat_events(spark, sf_dir):
+def flat_events(spark, sf_dir, row=EVENT_ROW):
     envelopes = event_envelopes(spark, sf_dir).select("value")
-    return flatten_changes(envelopes, EVENT_ROW, EVENT_KEYS, SOURCE_FIELDS)
+    return flatten_changes(envelopes, row, EVENT_KEYS, SOURCE_FIELDS)
 
 
 def cdc_flatten(spark, sf_dir):
@@ -31,7 +32,8 @@ def cdc_latest_composite_key(spark, sf_dir):
 
 
 def cdc_deleted_keys(spark, sf_dir):
-    return deleted_keys(flat_events(spark, sf_dir), EVENT_KEYS)
+    keys_only = T.StructType([EVENT_ROW[k] for k in EVENT_KEYS])
+    return deleted_keys(flat_events(spark, sf_dir, keys_only), EVENT_KEYS)
 
 
 def cdc_resolve_by_time(spark, sf_dir):

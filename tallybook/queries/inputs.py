@@ -31,9 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def money(column: str, decimals: int = 2) -> Column:
-    """Exact decimal of a stored double, so that sums do not depend on row order."""
-    return F.col(column).cast(f"decimal(18,{decimals})")
+def hundredths(column: str) -> Column:
+    """A stored two-decimal double as a whole number of hundredths: sums are exact in any row order."""
+    return F.rint(F.col(column) * 100).cast("long")
 
 
 def events_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVENTS_SQL = """
-ev AS (SELECT event_id AS lsn, epoch_ms(ts) AS ts_ms, user_id,
+ev AS (SELECT event_id AS lsn, epoch_us(ts) // 1000 AS ts_ms, user_id,
               CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type,
               CASE WHEN value <= 100 THEN value END AS value, value AS raw_value,
               event_type = 'error' AS gone
@@ -97,26 +97,29 @@ def statement_envelopes(spark: SparkSession, sf_dir: str, keys: list[str]) -> Da
 
 def line_statements(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
     """Line items summed to one statement per shipping month (and supplier)."""
+    by = {"date": F.trunc("l_shipdate", "month"), "company_name": F.col("l_suppkey")}
+    names = {"date": period_label(F.col("date")), "company_name": company_label(F.col("company_name"))}
     lines = table(spark, sf_dir, "lineitem").select(
-        period_label(F.col("l_shipdate")).alias("date"), company_label(F.col("l_suppkey")).alias("company_name"),
-        money("l_extendedprice").alias("price"), money("l_discount").alias("discount"),
-        money("l_tax").alias("tax"), money("l_quantity").alias("quantity"),
-        "l_linenumber", "l_extendedprice", "l_returnflag")
+        *[by[k].alias(k) for k in keys], hundredths("l_extendedprice").alias("price"),
+        hundredths("l_discount").alias("discount"), hundredths("l_tax").alias("tax"),
+        hundredths("l_quantity").alias("quantity"), "l_linenumber", "l_extendedprice", "l_returnflag")
+    c = F.col
     sums = lines.groupBy(*keys).agg(
-        F.sum("price").alias("price"), F.sum(F.col("price") * F.col("discount")).alias("discounts"),
-        F.sum(F.col("price") * F.col("tax")).alias("taxes"), F.sum("quantity").alias("quantity"),
-        F.sum(F.when(F.col("l_returnflag") == "R", F.col("quantity"))).alias("returned"),
+        F.sum("price").alias("price"), F.sum(c("price") * c("discount")).alias("discounts"),
+        F.sum(c("price") * c("tax")).alias("taxes"), F.sum("quantity").alias("quantity"),
+        F.sum(F.when(c("l_returnflag") == "R", c("quantity"))).alias("returned"),
         F.sum("l_linenumber").alias("lines"), F.sum("tax").alias("tax_rates"),
         F.max("l_extendedprice").alias("highest"), F.sum("discount").alias("discount_rates"))
-    c = F.col
     measures = {
-        "sales": c("price"), "expenses": c("discounts"), "operating_profit": c("price") - c("discounts"),
-        "opm_percent": c("lines"), "other_income": c("taxes"), "interest": c("quantity"),
-        "depreciation": c("returned"), "profit_before_tax": c("price") - c("quantity"),
-        "tax_percent": c("tax_rates"), "net_profit": c("price") - c("discounts") - c("taxes"),
-        "eps_in_rs": c("highest"), "dividend_payout_percent": c("discount_rates"),
+        "sales": c("price") / 100, "expenses": c("discounts") / 10000,
+        "operating_profit": (c("price") * 100 - c("discounts")) / 10000,
+        "opm_percent": c("lines").cast("double"), "other_income": c("taxes") / 10000,
+        "interest": c("quantity") / 100, "depreciation": c("returned") / 100,
+        "profit_before_tax": (c("price") - c("quantity")) / 100, "tax_percent": c("tax_rates") / 100,
+        "net_profit": (c("price") * 100 - c("discounts") - c("taxes")) / 10000,
+        "eps_in_rs": c("highest"), "dividend_payout_percent": c("discount_rates") / 100,
     }
-    return sums.select(*keys, *[v.cast("double").alias(m) for m, v in measures.items()])
+    return sums.select(*[names[k].alias(k) for k in keys], *[v.alias(m) for m, v in measures.items()])
 
 
 def sql_round(expression: str, decimals: int = 2) -> str:

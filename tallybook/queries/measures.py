@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.times import period_label
 from tallybook.operators.measures import (append_summary, complete_rows, summary_last, with_growth,
                                           with_ratios)
-from tallybook.queries.inputs import money, sql_ratio, sql_round, table
+from tallybook.queries.inputs import hundredths, sql_ratio, sql_round, table
 
 ORDER_MEASURES = ["orders", "total", "largest"]
 
@@ -16,7 +16,7 @@ def _customer_orders(spark, sf_dir):
     """Order measures of every customer; null for customers without orders."""
     sums = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).cast("double").alias("orders"),
-        F.sum(money("o_totalprice")).cast("double").alias("total"),
+        (F.sum(hundredths("o_totalprice")) / 100).alias("total"),
         F.max("o_totalprice").alias("largest"))
     names = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("date"))
     return names.join(sums, "c_custkey", "left").drop("c_custkey")
@@ -40,19 +40,19 @@ def complete_rows_only(spark, sf_dir):
 def _yearly(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("supplier"), F.year("l_shipdate").alias("year"),
-        money("l_extendedprice").alias("price"), money("l_discount").alias("discount"),
-        money("l_tax").alias("tax"), money("l_quantity").alias("quantity"), "l_returnflag")
+        hundredths("l_extendedprice").alias("price"), hundredths("l_discount").alias("discount"),
+        hundredths("l_tax").alias("tax"), "l_quantity", "l_returnflag")
     price, discount, tax = F.col("price"), F.col("discount"), F.col("tax")
+    returned = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48)
     return lines.groupBy("supplier", "year").agg(
-        F.sum(price).cast("double").alias("sales"),
-        F.sum(price * (1 - discount)).cast("double").alias("operating_profit"),
-        F.sum(price * tax).cast("double").alias("net_profit"),
-        F.sum(price * discount).cast("double").alias("profit_before_tax"),
-        F.sum(tax).cast("double").alias("tax_percent"),
-        F.sum(discount).cast("double").alias("dividend_payout_percent"),
-        F.max("quantity").cast("double").alias("eps_in_rs"),
-        F.sum(F.when((F.col("l_returnflag") == "R") & (F.col("quantity") >= 48), F.col("quantity"))
-              .otherwise(0)).cast("double").alias("interest"))
+        (F.sum(price) / 100).alias("sales"),
+        (F.sum(price * (100 - discount)) / 10000).alias("operating_profit"),
+        (F.sum(price * tax) / 10000).alias("net_profit"),
+        (F.sum(price * discount) / 10000).alias("profit_before_tax"),
+        (F.sum(tax) / 100).alias("tax_percent"),
+        (F.sum(discount) / 100).alias("dividend_payout_percent"),
+        F.max("l_quantity").alias("eps_in_rs"),
+        F.sum(F.when(returned, F.col("l_quantity")).otherwise(0.0)).alias("interest"))
 
 
 def kpi_ratios(spark, sf_dir):
@@ -69,19 +69,18 @@ def yoy_growth(spark, sf_dir):
 def yoy_growth_label_order(spark, sf_dir):
     """Growth per supplier and month with the months in label order (April first)."""
     monthly = table(spark, sf_dir, "lineitem").groupBy(
-        F.col("l_suppkey").alias("supplier"), period_label(F.col("l_shipdate")).alias("date")) \
-        .agg(F.sum(money("l_extendedprice")).cast("double").alias("sales"))
-    return with_growth(monthly, ["supplier"], [F.col("date")], {"sales_growth": "sales"})
+        F.col("l_suppkey").alias("supplier"), F.trunc("l_shipdate", "month").alias("month")) \
+        .agg((F.sum(hundredths("l_extendedprice")) / 100).alias("sales"))
+    labelled = monthly.select("supplier", period_label(F.col("month")).alias("date"), "sales")
+    return with_growth(labelled, ["supplier"], [F.col("date")], {"sales_growth": "sales"})
 
 
 def growth_by_day(spark, sf_dir):
-    """Growth between shipping days of a part brand: long series, cut by year into separate groups."""
-    brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    sums = table(spark, sf_dir, "lineitem").groupBy("l_partkey", F.to_date("l_shipdate").alias("day")) \
-        .agg(F.sum(money("l_extendedprice")).alias("sales"))
-    daily = sums.join(brands, "l_partkey").groupBy("p_brand", "day") \
-        .agg(F.sum("sales").cast("double").alias("sales"))
-    return with_growth(daily, ["p_brand"], [F.col("day")], {"sales_growth": "sales"}, bucket=F.year("day"))
+    """Growth between a supplier's shipping days: long series, cut by year into separate groups."""
+    daily = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_suppkey").alias("supplier"), F.to_date("l_shipdate").alias("day")) \
+        .agg((F.sum(hundredths("l_extendedprice")) / 100).alias("sales"))
+    return with_growth(daily, ["supplier"], [F.col("day")], {"sales_growth": "sales"}, bucket=F.year("day"))
 
 
 QUERIES = {f.__name__: f for f in (summary_average_row, complete_rows_only, kpi_ratios, yoy_growth,
@@ -143,7 +142,7 @@ SELECT l_suppkey AS supplier, strftime(l_shipdate, '%b %Y') AS date, CAST(sum({_
 FROM lineitem GROUP BY 1, 2)
 SELECT *, {_growth('sales', 'sales_growth', 'supplier', 'date')} FROM m""",
     "growth_by_day": f"""WITH m AS (
-SELECT p_brand, CAST(l_shipdate AS DATE) AS day, CAST(sum({_P}) AS DOUBLE) AS sales
-FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
-SELECT *, {_growth('sales', 'sales_growth', 'p_brand', 'day')} FROM m""",
+SELECT l_suppkey AS supplier, CAST(l_shipdate AS DATE) AS day, CAST(sum({_P}) AS DOUBLE) AS sales
+FROM lineitem GROUP BY 1, 2)
+SELECT *, {_growth('sales', 'sales_growth', 'supplier', 'day')} FROM m""",
 }

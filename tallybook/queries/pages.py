@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.statements import transpose, union_statements
 from tallybook.plans.jobs import load_statements
-from tallybook.queries.inputs import money, table
+from tallybook.queries.inputs import hundredths, table
 from tallybook.sources.pages import page_items, page_tables, table_cells, wide_rows
 
 YEARS = list(range(1995, 2003))
@@ -27,7 +27,7 @@ def statement_pages(spark, sf_dir):
     """A page per supplier with two statement tables, a column per fiscal year, from the line items."""
     year = F.year(F.add_months("l_shipdate", 9))
     sums = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", year.alias("year")).agg(
-        F.sum(money("l_extendedprice")).alias("sales"), F.sum(money("l_quantity")).alias("units"),
+        (F.sum(hundredths("l_extendedprice")) / 100).alias("sales"), F.sum("l_quantity").alias("units"),
         F.count(F.lit(1)).alias("lines"))
     # One struct per fiscal year: the array stays as short as the calendar.
     suppliers = sums.groupBy("l_suppkey").agg(
@@ -78,9 +78,9 @@ def transpose_statement(spark, sf_dir):
     priority = F.concat(F.col("o_orderpriority"), F.lit(" Orders %"))
     totals = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority",
                                                     F.year("o_orderdate").alias("year")) \
-        .agg(F.sum(money("o_totalprice")).alias("total"))
+        .agg(F.sum(hundredths("o_totalprice")).alias("total"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    cells = [F.concat(F.format_number(F.sum(F.when(F.col("year") == y, F.col("total"))), 2), F.lit("%"))
+    cells = [F.concat(F.format_number(F.sum(F.when(F.col("year") == y, F.col("total"))) / 100, 2), F.lit("%"))
              .alias(f"Mar {y}") for y in YEARS]
     wide = totals.join(customers, "o_custkey").groupBy("c_nationkey", priority.alias("Narration")).agg(*cells)
     labels = [p.lower().replace(" ", "_") + "_orders_percent" for p in PRIORITIES]

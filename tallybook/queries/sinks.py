@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallybook.operators.measures import append_summary, complete_rows, summary_last
-from tallybook.queries.inputs import money, sql_round, table
+from tallybook.queries.inputs import hundredths, sql_round, table
 from tallybook.session import scratch_dir
 from tallybook.sinks.files import preview, read_csv, write_csv
 from tallybook.sinks.tables import append_table, create_table, replace_table
@@ -25,7 +25,7 @@ def sink_csv_roundtrip(spark, sf_dir):
 def sink_csv_single_file(spark, sf_dir):
     """Mean balance per nation and segment with a closing row of means, in one file."""
     sums = table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(
-        F.sum(money("c_acctbal")).cast("double").alias("balance"),
+        (F.sum(hundredths("c_acctbal")) / 100).alias("balance"),
         F.count(F.lit(1)).cast("double").alias("customers"))
     named = sums.select(F.concat_ws(" ", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("date"),
                         "balance", "customers")

@@ -29,11 +29,17 @@ def kpi_schema() -> T.StructType:
     return statement_schema(["date", "company_name"], MEASURES + KPI_COLUMNS)
 
 
-def envelope_schema(row: T.StructType, source_fields: list[str] | None = None) -> T.StructType:
-    """``payload{before, after, source}``; the source fields are longs (``ts_ms``, log positions)."""
+def envelope_schema(row: T.StructType, source_fields: list[str] | None = None,
+                    before: list[str] | None = None) -> T.StructType:
+    """``payload{before, after, source}``; the source fields are longs (``ts_ms``, log positions).
+
+    ``before`` names the fields wanted from the image before the change, all if not given: fields
+    outside the schema are skipped by the parser.
+    """
     source = T.StructType([T.StructField(f, T.LongType()) for f in source_fields or ["ts_ms"]])
+    old = row if before is None else T.StructType([row[f] for f in before])
     return T.StructType([T.StructField("payload", T.StructType([
-        T.StructField("before", row),
+        T.StructField("before", old),
         T.StructField("after", row),
         T.StructField("source", source),
     ]))])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -60,3 +60,14 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch root; nothing is created until something writes there."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For results that are used more than once: the sources are read and parsed a single time, all
+    uses see the same rows, and a lost executor costs a re-read, not a re-computation.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
