@@ -15,15 +15,16 @@ NAMED_REFERENCES = {
     "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
     "&minus;": "−", "&amp;": "&",
 }
-# (?U) makes \s cover every Unicode space, the no-break space included.
-EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters counted as white space.
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+          "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$"
 NUMERIC_REFERENCE = r"^&#([0-9]+|[xX][0-9A-Fa-f]+);"
 
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.regexp_replace(text, EDGE_SPACE, "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def clean_number(text: Column) -> Column:
@@ -62,5 +63,5 @@ def decode_references(text: Column) -> Column:
 
 
 def markup_text(html: Column) -> Column:
-    """Visible text of a markup fragment, trimmed."""
-    return strip(decode_references(F.regexp_replace(html, "<[^>]*>", "")))
+    """Visible text of a markup fragment, trimmed. A tag may not hold ``<``, which keeps this linear."""
+    return strip(decode_references(F.regexp_replace(html, "<[/!?a-zA-Z][^<>]*>", "")))

@@ -1,7 +1,8 @@
 """Tables and list items out of stored web pages, one row per page in, many rows out.
 
-The patterns use single-character lazy loops only: Java matches those without recursion, so a
-page of any length is safe. They expect closed tags and no table nested in a table.
+Elements are found by splitting at their opening tags and cutting each piece at the first tag that
+ends it, so the work is linear in the page length, also where closing tags are missing. Tables
+nested in a table are not taken apart.
 """
 
 from __future__ import annotations
@@ -11,7 +12,15 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.text import markup_text
 
-HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+TABLE = r"(?is)<table\b[^<>]*>(.*?)(?:</table\s*>|\z)"
+# What ends an element besides the next one of its kind.
+ENDS = {
+    "tr": r"(?i)</?(?:tr|thead|tbody|tfoot|table)\b",
+    "td": r"(?i)</?(?:td|th|tr|thead|tbody|tfoot|table)\b",
+    "th": r"(?i)</?(?:td|th|tr|thead|tbody|tfoot|table)\b",
+    "li": r"(?i)</(?:li|ul|ol)\b",
+}
 
 
 def visible_html(html: Column) -> Column:
@@ -19,16 +28,16 @@ def visible_html(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, "")
 
 
-def _inner(tag: str) -> str:
-    return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
-
-
 def _all(html: Column, tag: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(_inner(tag)), F.lit(1))
+    """Inner markup of every ``tag`` element."""
+    pieces = F.split(html, rf"(?i)<{tag}\b[^<>]*>")
+    inner = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1)))
+    end = ENDS.get(tag, rf"(?i)</{tag}\b")
+    return F.transform(inner, lambda piece: F.split(piece, end, 2)[0])
 
 
 def _section(html: Column, section_id: str) -> Column:
-    opening = rf"(?is)<section\b[^>]*?\sid\s*=\s*[\"']?\Q{section_id}\E(?=[\"'\s>])[^>]*>"
+    opening = rf"(?is)<section\b[^<>]*?\sid\s*=\s*[\"']?\Q{section_id}\E(?=[\"'\s>])[^<>]*>"
     return F.regexp_extract(html, opening + r"(.*?)(?:</section\s*>|\z)", 1)
 
 
@@ -44,7 +53,7 @@ def page_tables(pages: DataFrame, keys: list[str], section_id: str, html: str =
     The first ``<tr>`` holds the headers; a blank header becomes ``Column_<i>``. Rows whose cell
     count differs from the header count are left out. The first header becomes ``Narration``.
     """
-    table = F.regexp_extract(_section(visible_html(F.col(html)), section_id), _inner("table"), 1)
+    table = F.regexp_extract(_section(visible_html(F.col(html)), section_id), TABLE, 1)
     titles = F.transform(_all(F.col("table"), "th"), markup_text)
     named = F.transform(titles, lambda t, i: F.when(t == "", F.concat(F.lit("Column_"), i.cast("string")))
                         .otherwise(t))
