@@ -1,7 +1,7 @@
 """Merging a keyed snapshot with newer rows, removing keys, and upserting.
 
-All inputs have one row per key (see ``latest_per_key``), so no join key is hot. Nothing is
-broadcast by hint: the planner and AQE broadcast a side only when its measured size allows.
+The merges expect one row per key on each side (see ``latest_per_key``), so no join key is hot.
+Nothing is broadcast by hint: the planner and AQE broadcast a side only when its measured size allows.
 """
 
 from __future__ import annotations
@@ -35,13 +35,21 @@ def merge_changes(existing: DataFrame, resolved: DataFrame, keys: list[str], col
                                  for c in columns])
 
 
-def apply_deletes(df: DataFrame, deleted: DataFrame, keys: list[str]) -> DataFrame:
+def apply_deletes(df: DataFrame, deleted: DataFrame, keys: list[str], salts: int = 1) -> DataFrame:
     """Rows whose key is not among the deleted ones.
 
-    ``keys`` may be part of the row key (a date deleted for every company). Such a key can be hot in
-    ``df``; the deleted side is distinct, so AQE may split the hot partition of ``df``.
+    ``keys`` may be part of the row key (a date deleted for every company); then one key value can
+    hold a large share of ``df``. ``salts`` spreads the rows of each key value over that many tasks,
+    by a hash of the whole row, and repeats the distinct deleted keys for each of them. (AQE does not
+    split this join by itself, as the deleted side is an aggregate.)
     """
-    return df.join(deleted.select(*keys).distinct(), on=keys, how="left_anti")
+    gone = deleted.select(*keys).distinct()
+    if salts == 1:
+        return df.join(gone, on=keys, how="left_anti").select(*df.columns)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    gone = gone.withColumn("_salt", F.explode(every))
+    return salted.join(gone, on=[*keys, "_salt"], how="left_anti").select(*df.columns)
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

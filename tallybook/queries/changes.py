@@ -80,7 +80,7 @@ def apply_deletes_global(spark, sf_dir):
     latest = latest_per_key(upserts(flat, EVENT_KEYS), EVENT_KEYS, SOURCE_FIELDS)
     events = table(spark, sf_dir, "events")
     gone = events.filter((F.col("event_type") == "error") & (F.col("value") > 150)).select("user_id")
-    return apply_deletes(latest, gone, ["user_id"])
+    return apply_deletes(latest, gone, ["user_id"], salts=8)
 
 
 def prefix_filter(spark, sf_dir):

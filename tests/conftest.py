@@ -13,7 +13,7 @@ from tallybook.session import build_session  # noqa: E402
 def spark():
     session = build_session("tests", master="local[8]", conf={
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-        "spark.driver.bindAddress": "127.0.0.1"})
+        "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

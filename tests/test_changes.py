@@ -141,26 +141,21 @@ def test_upsert_twice_is_upsert_once(spark):
     assert rows(upsert(once, incoming, ["k"]), "*") == rows(once, "*")
 
 
-def test_hot_delete_key_is_split(spark):
-    """A third of the rows share one date: the anti-join splits that partition and loses nothing."""
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
-    before = {k: spark.conf.get(k, None) for k in settings}
+def test_hot_delete_key_is_spread(spark):
+    """A third of the rows share one date: the salted anti-join spreads them and loses nothing."""
+    data = spark.range(60_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("date"), "id")
+    gone = spark.range(0, 60_000, 2).select(F.col("id").cast("string").alias("date"))
+    plain, salted = apply_deletes(data, gone, ["date"]), apply_deletes(data, gone, ["date"], salts=8)
+    assert salted.columns == data.columns
+    totals = [df.agg(F.count("*"), F.count_if(F.col("date") == "hot"), F.sum("id")).collect()[0]
+              for df in (plain, salted)]
+    assert totals[0] == totals[1] and totals[0][:2] == (40_000, 20_000)
+    hint = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        data = spark.range(60_000, numPartitions=6).select(
-            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("date"), "id",
-            F.sha2(F.col("id").cast("string"), 256).alias("payload"))
-        gone = spark.range(0, 60_000, 2).select(F.col("id").cast("string").alias("date"))
-        left = apply_deletes(data, gone, ["date"])
-        got = left.agg(F.count("*").alias("n"), F.count_if(F.col("date") == "hot").alias("hot")).collect()[0]
-        assert (got.n, got.hot) == (20_000 + 20_000, 20_000)
-        left.collect()
-        assert "skew=true" in left._jdf.queryExecution().executedPlan().toString()
+        shuffled = apply_deletes(data, gone, ["date"], salts=8)._jdf.queryExecution().executedPlan().toString()
+        assert shuffled.count("hashpartitioning(date") == 3 and shuffled.count("_salt#") > 0
+        assert "SortMergeJoin [date" in shuffled
     finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", hint)
