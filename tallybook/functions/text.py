@@ -6,20 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Named character references and the characters they stand for.
-# The ampersand comes last, so that "&amp;lt;" decodes once, to "&lt;".
 NAMED_REFERENCES = {
-    "&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
-    "&copy;": "©", "&reg;": "®", "&middot;": "·", "&deg;": "°",
-    "&times;": "×", "&cent;": "¢", "&pound;": "£", "&yen;": "¥",
-    "&euro;": "€", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
-    "&minus;": "−", "&amp;": "&",
+    "nbsp": "\u00a0", "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
+    "copy": "©", "reg": "®", "middot": "·", "deg": "°", "times": "×", "minus": "−",
+    "cent": "¢", "pound": "£", "yen": "¥", "euro": "€", "ndash": "–", "mdash": "—",
+    "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
 }
+REFERENCE = r"^&(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z]+);"
 # The characters counted as white space.
 SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
           "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$"
-NUMERIC_REFERENCE = r"^&#([0-9]+|[xX][0-9A-Fa-f]+);"
 
 
 def strip(text: Column) -> Column:
@@ -41,27 +38,36 @@ def normalise_label(label: Column) -> Column:
 
 
 def _decode_leading_reference(piece: Column) -> Column:
-    digits = F.regexp_extract(piece, NUMERIC_REFERENCE, 1)
-    code = F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, 2, 12), 16, 10)) \
-        .otherwise(digits).try_cast("int")
+    name = F.regexp_extract(piece, REFERENCE, 1)
+    code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 12), 16, 10)) \
+        .otherwise(F.substring(name, 2, 12)).try_cast("int")
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")) \
-        .otherwise(F.lit("\ufffd"))
-    rest = F.regexp_replace(piece, NUMERIC_REFERENCE, "")
-    return F.when(piece.rlike(NUMERIC_REFERENCE), F.concat(char, rest)).otherwise(piece)
+    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    table = F.str_to_map(F.lit("|".join(f"{k}={v}" for k, v in NAMED_REFERENCES.items())), F.lit("\\|"), F.lit("="))
+    char = F.when(name.startswith("#"), numeric).otherwise(F.try_element_at(table, name))
+    return F.when(char.isNull(), piece).otherwise(F.concat(char, F.regexp_replace(piece, REFERENCE, "")))
 
 
 def decode_references(text: Column) -> Column:
-    """Replace named and numeric character references."""
-    pieces = F.split(text, r"(?=&#[0-9xX][0-9A-Fa-f]*;)")
-    numeric = F.when(text.contains("&#"), F.array_join(F.transform(pieces, _decode_leading_reference), "")) \
+    """Replace named and numeric character references, each once; unknown names stay as they are."""
+    pieces = F.split(text, "(?=&[#A-Za-z])")
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, _decode_leading_reference), "")) \
         .otherwise(text)
-    named = numeric
-    for reference, char in NAMED_REFERENCES.items():
-        named = F.replace(named, F.lit(reference), F.lit(char))
-    return F.when(text.contains("&"), named).otherwise(text)
+
+
+def remove_tags(html: Column) -> Column:
+    """Markup without its tags. A tag may not hold ``<``, which keeps this linear."""
+    return F.regexp_replace(html, "<[/!?a-zA-Z][^<>]*>", "")
 
 
 def markup_text(html: Column) -> Column:
-    """Visible text of a markup fragment, trimmed. A tag may not hold ``<``, which keeps this linear."""
-    return strip(decode_references(F.regexp_replace(html, "<[/!?a-zA-Z][^<>]*>", "")))
+    """Visible text of a markup fragment, trimmed."""
+    return strip(decode_references(remove_tags(html)))
+
+
+def markup_texts(fragments: Column) -> Column:
+    """``markup_text`` of every array element, one step at a time so that no step is evaluated twice."""
+    texts = fragments
+    for step in (remove_tags, decode_references, strip):
+        texts = F.transform(texts, step)
+    return texts

@@ -9,7 +9,7 @@ from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_p
                                          upserts)
 from tallybook.operators.merge import apply_deletes, exclude_prefix, merge_snapshot, upsert
 from tallybook.queries.inputs import (CUT_MS, EVENT_KEYS, EVENT_ROW, EVENTS_SQL, SOURCE_FIELDS,
-                                      event_envelopes, table)
+                                      event_envelopes, events_with_time, table)
 
 PAYLOAD = ["event_type", "value"]
 
@@ -44,27 +44,27 @@ def cdc_resolve_sticky(spark, sf_dir):
     return resolve_changes(flat_events(spark, sf_dir), EVENT_KEYS, PAYLOAD, SOURCE_FIELDS, "sticky")
 
 
-def _snapshot_and_changes(spark, sf_dir):
-    """Latest rows of the older events, and of the newer ones."""
-    flat = upserts(flat_events(spark, sf_dir), EVENT_KEYS)
-    old, new = flat.filter(F.col("ts_ms") < CUT_MS), flat.filter(F.col("ts_ms") >= CUT_MS)
-    return [latest_per_key(part, EVENT_KEYS, SOURCE_FIELDS) for part in (old, new)]
+def _snapshot_and_changes(spark, sf_dir, keys):
+    """The older events as a table with one row per key, the newer ones out of their envelopes."""
+    older = events_with_time(spark, sf_dir).filter((F.col("ts_ms") < CUT_MS) & (F.col("event_type") != "error"))
+    known = older.withColumn("value", F.when(F.col("value") <= 100, F.col("value")))
+    newer = event_envelopes(spark, sf_dir).filter(F.col("ts_ms") >= CUT_MS).select("value")
+    changes = flatten_changes(newer, EVENT_ROW, EVENT_KEYS, SOURCE_FIELDS)
+    return [latest_per_key(part, keys, SOURCE_FIELDS) for part in (known, upserts(changes, EVENT_KEYS))]
 
 
 def merge_incoming_wins(spark, sf_dir):
-    existing, incoming = _snapshot_and_changes(spark, sf_dir)
+    existing, incoming = _snapshot_and_changes(spark, sf_dir, EVENT_KEYS)
     return merge_snapshot(existing, incoming, EVENT_KEYS, PAYLOAD, distinct=True)
 
 
 def merge_incoming_wins_single_key(spark, sf_dir):
-    flat = upserts(flat_events(spark, sf_dir), EVENT_KEYS)
-    existing, incoming = [latest_per_key(flat.filter(side), ["user_id"], SOURCE_FIELDS)
-                          for side in (F.col("ts_ms") < CUT_MS, F.col("ts_ms") >= CUT_MS)]
+    existing, incoming = _snapshot_and_changes(spark, sf_dir, ["user_id"])
     return merge_snapshot(existing, incoming, ["user_id"], PAYLOAD, distinct=True)
 
 
 def merge_keep_existing(spark, sf_dir):
-    existing, incoming = _snapshot_and_changes(spark, sf_dir)
+    existing, incoming = _snapshot_and_changes(spark, sf_dir, EVENT_KEYS)
     return merge_snapshot(existing, incoming, EVENT_KEYS, PAYLOAD, keep_existing=True)
 
 

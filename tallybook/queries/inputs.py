@@ -42,9 +42,10 @@ def events_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("k"), "event_type", "value")
 
 
-def as_envelopes(rows: DataFrame, image: list[Column], gone: Column, had_before: Column) -> DataFrame:
-    """JSON envelopes: ``after`` is absent for deletes, ``before`` for inserts."""
-    payload = F.struct(F.when(had_before, F.struct(*image)).alias("before"),
+def as_envelopes(rows: DataFrame, keys: list[str], image: list[Column], gone: Column,
+                 had_before: Column) -> DataFrame:
+    """JSON envelopes: ``after`` is absent for deletes, ``before`` (the old key) for inserts."""
+    payload = F.struct(F.when(had_before, F.struct(*keys)).alias("before"),
                        F.when(~gone, F.struct(*image)).alias("after"),
                        F.struct(*SOURCE_FIELDS).alias("source"))
     return rows.select(*SOURCE_FIELDS, F.to_json(F.struct(payload.alias("payload"))).alias("value"))
@@ -55,7 +56,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = [F.col("user_id"), F.col("k"), F.col("event_type"),
              F.when(F.col("value") <= 100, F.col("value")).alias("value")]
     kind = F.col("event_type")
-    return as_envelopes(events_with_time(spark, sf_dir), image, kind == "error", kind != "signup")
+    return as_envelopes(events_with_time(spark, sf_dir), EVENT_KEYS, image, kind == "error", kind != "signup")
 
 
 EVENTS_SQL = """
@@ -92,7 +93,7 @@ def statement_envelopes(spark: SparkSession, sf_dir: str, keys: list[str]) -> Da
           for m, factor in CHANGE_FACTORS.items()])
     image = [F.col(c) for c in [*keys, *MEASURES]]
     kind = F.col("event_type")
-    return as_envelopes(rows, image, kind == "error", kind != "signup")
+    return as_envelopes(rows, keys, image, kind == "error", kind != "signup")
 
 
 def line_statements(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:

@@ -10,17 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import markup_text
+from tallybook.functions.text import markup_text, markup_texts
 
 HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 TABLE = r"(?is)<table\b[^<>]*>(.*?)(?:</table\s*>|\z)"
-# What ends an element besides the next one of its kind.
+# What ends an element besides the next one of its kind, and all that follows.
 ENDS = {
-    "tr": r"(?i)</?(?:tr|thead|tbody|tfoot|table)\b",
-    "td": r"(?i)</?(?:td|th|tr|thead|tbody|tfoot|table)\b",
-    "th": r"(?i)</?(?:td|th|tr|thead|tbody|tfoot|table)\b",
-    "li": r"(?i)</(?:li|ul|ol)\b",
+    "tr": r"(?is)</?(?:tr|thead|tbody|tfoot|table)\b.*",
+    "td": r"(?is)</?(?:td|th|tr|thead|tbody|tfoot|table)\b.*",
+    "th": r"(?is)</?(?:td|th|tr|thead|tbody|tfoot|table)\b.*",
+    "li": r"(?is)</(?:li|ul|ol)\b.*",
 }
+MAX_ITEMS = 2**30  # far above any array length; start plus length must stay an int
 
 
 def visible_html(html: Column) -> Column:
@@ -28,12 +29,18 @@ def visible_html(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, "")
 
 
+def _pieces(html: Column, tag: str) -> Column:
+    return F.split(html, rf"(?i)<{tag}\b[^<>]*>")
+
+
+def _after_first(array: Column) -> Column:
+    return F.slice(array, 2, MAX_ITEMS)
+
+
 def _all(html: Column, tag: str) -> Column:
     """Inner markup of every ``tag`` element."""
-    pieces = F.split(html, rf"(?i)<{tag}\b[^<>]*>")
-    inner = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1)))
-    end = ENDS.get(tag, rf"(?i)</{tag}\b")
-    return F.transform(inner, lambda piece: F.split(piece, end, 2)[0])
+    end = ENDS.get(tag, rf"(?is)</{tag}\b.*")
+    return F.transform(_after_first(_pieces(html, tag)), lambda piece: F.regexp_replace(piece, end, ""))
 
 
 def _section(html: Column, section_id: str) -> Column:
@@ -54,20 +61,17 @@ def page_tables(pages: DataFrame, keys: list[str], section_id: str, html: str =
     count differs from the header count are left out. The first header becomes ``Narration``.
     """
     table = F.regexp_extract(_section(visible_html(F.col(html)), section_id), TABLE, 1)
-    titles = F.transform(_all(F.col("table"), "th"), markup_text)
-    named = F.transform(titles, lambda t, i: F.when(t == "", F.concat(F.lit("Column_"), i.cast("string")))
-                        .otherwise(t))
-    headers = F.when(F.size(named) > 0,
-                     F.concat(F.array(F.lit("Narration")), F.slice(named, F.lit(2), F.greatest(F.size(named), F.lit(1)))))
-    body = _all(F.col("table"), "tr")
+    headers = F.transform(
+        markup_texts(_all(F.col("table"), "th")),
+        lambda title, i: F.when(i == 0, F.lit("Narration"))
+        .when(title == "", F.concat(F.lit("Column_"), i.cast("string"))).otherwise(title))
+    body = _after_first(_all(F.col("table"), "tr"))
     rows = (pages.select(*keys, table.alias("table"))
-            .filter(F.col("table") != "")
-            .select(*keys, headers.alias("headers"),
-                    F.slice(body, F.lit(2), F.greatest(F.size(body), F.lit(1))).alias("rows"))
-            .select(*keys, "headers", F.posexplode("rows").alias("at", "row"))
-            .select(*keys, (F.col("at") + 1).alias("row_no"), "headers", _all(F.col("row"), "td").alias("raw")))
-    return (rows.filter(F.size("raw") == F.size("headers"))
-            .select(*keys, "row_no", "headers", F.transform("raw", markup_text).alias("cells")))
+            .select(*keys, headers.alias("headers"), body.alias("rows"))
+            .select(*keys, "headers", F.posexplode("rows").alias("at", "row")))
+    full = rows.filter(F.size(_pieces(F.col("row"), "td")) - 1 == F.size("headers"))
+    return full.select(*keys, (F.col("at") + 1).alias("row_no"), "headers",
+                       markup_texts(_all(F.col("row"), "td")).alias("cells"))
 
 
 def wide_rows(tables: DataFrame, keys: list[str], headers: list[str]) -> DataFrame:
