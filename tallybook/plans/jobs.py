@@ -17,6 +17,7 @@ from tallybook.session import materialise
 from tallybook.sources.pages import page_tables, table_cells
 
 MULTI_KEYS = ["date", "company_name"]
+LAST_DAY = "9999-12-31"  # stands in for periods that name no month
 
 
 def merged_statements(envelopes: DataFrame, existing: DataFrame, keys: list[str], keep_existing: bool,
@@ -48,19 +49,33 @@ def statement_summary(envelopes: DataFrame, existing: DataFrame, decimals: int |
     return summary_last(complete_rows(summed, ["date", *MEASURES]), period_start(F.col("date")))
 
 
-def statement_kpis(envelopes: DataFrame, existing: DataFrame, order: str = "time", **settings) -> DataFrame:
-    """All statements of many companies with ratios and growth, sorted by company and period.
+def with_kpis(merged: DataFrame, order: str = "time", split_companies: bool = False) -> DataFrame:
+    """Ratios and growth of merged statements, sorted by company and period, trailing periods left out.
 
     Growth compares with the preceding period in time; ``order="label"`` compares in label order.
     The trailing period takes part last, so that it is never another period's predecessor.
+    A company's statements share a task, which is fine for months or quarters; ``split_companies``
+    cuts long series by calendar year first (the merged rows are then written once and read twice).
     """
-    merged = merged_statements(envelopes, existing, MULTI_KEYS, keep_existing=True, **settings)
-    by_time = [period_start(F.col("date")).asc_nulls_last(), F.col("date")]
-    grown = with_growth(with_ratios(merged), ["company_name"], by_time if order == "time" else [F.col("date")],
-                        {"yoy_sales_growth": "sales", "yoy_net_profit_growth": "net_profit"})
+    growth = {"yoy_sales_growth": "sales", "yoy_net_profit_growth": "net_profit"}
+    source = materialise(merged, "merged-statements") if split_companies else merged
+    dated = with_ratios(source).withColumn(
+        "_start", F.coalesce(period_start(F.col("date")), F.lit(LAST_DAY).cast("date")))
+    by = [F.col("_start"), F.col("date")] if order == "time" else [F.col("date")]
+    bucket = None
+    if split_companies:
+        bucket = F.year("_start") if order == "time" else F.substring("date", 1, 3)
+    grown = with_growth(dated, ["company_name"], by, growth, bucket).drop("_start")
     return exclude_prefix(grown, "date", TRAILING_LABEL).orderBy("company_name", "date")
 
 
+def statement_kpis(envelopes: DataFrame, existing: DataFrame, order: str = "time",
+                   split_companies: bool = False, **settings) -> DataFrame:
+    """All statements of many companies, old and changed, with ratios and growth."""
+    merged = merged_statements(envelopes, existing, MULTI_KEYS, keep_existing=True, **settings)
+    return with_kpis(merged, order, split_companies)
+
+
 def load_statements(pages: DataFrame, section_id: str, labels: list[str] | None = None,
                     company: str = "company_name") -> DataFrame:
     """Statement tables of all pages as one table: a row per company and period.

@@ -31,10 +31,17 @@ def _writer(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: s
 
 
 def upsert_batches(versions: DataFrame, keys: list[str], order: list[str], log_path: str, checkpoint: str,
-                   trigger: dict | None = None) -> StreamingQuery:
-    """Stateless form: each batch logs the newest version of the keys it holds."""
+                   trigger: dict | None = None,
+                   publish: Callable[[SparkSession, int], None] | None = None) -> StreamingQuery:
+    """Stateless form: each batch logs the newest version of the keys it holds.
+
+    ``publish`` runs after every batch, to refresh what is derived from the log. It may run again for
+    a repeated batch, so it should replace or upsert, not append.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
         write_batch(latest_per_key(batch, keys, order), batch_id, log_path)
+        if publish:
+            publish(batch.sparkSession, batch_id)
 
     return _writer(versions, sink, checkpoint, trigger).start()
 

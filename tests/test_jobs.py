@@ -59,6 +59,19 @@ def test_kpi_job(spark, log, existing):
     assert [r.yoy_sales_growth for r in by_label.collect()] == [None, -66.67, 100.0]
 
 
+@pytest.mark.parametrize("order", ["time", "label"])
+def test_split_companies_give_the_same_kpis(spark, order):
+    rng = random.Random(2)
+    months = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+    labels = [f"{m} {y}" for y in range(1990, 2000) for m in months] + ["TTM"]
+    data = [statement(d, c, rng.random() * 100) for c, n in (("hot", 121), ("A", 20), ("B", 3), ("C", 1))
+            for d in rng.sample(labels, n)]
+    merged = spark.createDataFrame([tuple(r[c] for c in ROW.names) for r in data], ROW)
+    plain, split = jobs.with_kpis(merged, order), jobs.with_kpis(merged, order, split_companies=True)
+    assert plain.columns == split.columns
+    assert [repr(r) for r in plain.collect()] == [repr(r) for r in split.collect()]
+
+
 def test_merge_job_keeps_changed_keys_only(spark, log, existing):
     got = [(r.company_name, r.date, r.sales) for r in jobs.statement_merge(frame(spark, log), existing).collect()]
     assert got == [("A", "Dec 2015", 30.0), ("A", "Mar 2014", 20.0), ("B", "Mar 2014", 1.0)]
@@ -171,6 +184,29 @@ def test_stream_equals_batch_for_any_split(spark, start, files):
     assert current(f"{base}/compacted") == expected, "late events change nothing, deleted keys stay deleted"
 
 
+def test_kpis_are_published_after_every_batch(spark):
+    base = scratch_dir(spark, "publish")
+    log = _random_log(3)
+    for i in range(2):
+        frame(spark, log[i::2]).coalesce(1).write.mode("append").text(f"{base}/in")
+    source = cdc_source(spark, "text", {"path": f"{base}/in", "maxFilesPerTrigger": "1"}, streaming=True)
+    events = versions(flatten_changes(source, ROW, KEYS), KEYS, MEASURES, ["ts_ms"])
+    published = []
+
+    def publish(session, batch_id):
+        kpis = jobs.with_kpis(read_latest(session, f"{base}/log", KEYS, ["ts_ms"]).drop("ts_ms"))
+        write_csv(kpis, f"{base}/kpis")
+        published.append(batch_id)
+
+    keep_running(lambda: upsert_batches(events, KEYS, ["ts_ms"], f"{base}/log", f"{base}/checkpoint",
+                                        trigger={"availableNow": True}, publish=publish))
+    nothing = spark.createDataFrame([], ROW)
+    expected = jobs.statement_kpis(frame(spark, log), nothing)
+    got = read_csv(spark, f"{base}/kpis", expected.schema)
+    assert published == [0, 1]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+
+
 def test_a_failing_query_is_started_again(spark):
     base, failures = scratch_dir(spark, "restart"), []
     frame(spark, _random_log(5, 20)).write.text(f"{base}/in")
