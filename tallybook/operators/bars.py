@@ -18,20 +18,25 @@ def fiscal_year_bars(bars: DataFrame, entity: list[str], day: str, start_year: i
 
     A fiscal year runs from April 1 to March 31 and is named after its last month. Years without
     bars give no row. The year range becomes a plain range on ``day``, which reaches the scan.
+    ``tie_break`` orders bars of the same day; without it the aggregation stays hash-based.
     ``end_inclusive=False`` leaves out each March 31. The aggregates combine on the map side, so an
     entity with very many bars sends one row per year and task.
     """
-    kept = bars
+    kept = bars.filter(F.col(day).isNotNull())
     if start_year is not None:
         kept = kept.filter(F.col(day) >= F.lit(dt.date(start_year - 1, 4, 1)))
     if end_year is not None:
         kept = kept.filter(F.col(day) < F.lit(dt.date(end_year, 4, 1)))
     if not end_inclusive:
         kept = kept.filter((F.month(day) != 3) | (F.dayofmonth(day) != 31))
-    at = F.struct(day, *tie_break) if tie_break else F.col(day)
+    if tie_break:
+        opening = F.min(F.struct(day, *tie_break, "open")).getField("open")
+        closing = F.max(F.struct(day, *tie_break, "close")).getField("close")
+    else:
+        opening, closing = F.min_by("open", day), F.max_by("close", day)
     return (kept.groupBy(*entity, fiscal_year(F.col(day)).alias("_year"))
-            .agg(F.min_by("open", at).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
-                 F.max_by("close", at).alias("close"), F.sum("volume").alias("volume"))
+            .agg(opening.alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+                 closing.alias("close"), F.sum("volume").alias("volume"))
             .select(fiscal_label(F.col("_year")).alias("date"), *entity,
                     "open", "high", "low", "close", "volume"))
 
@@ -46,10 +51,10 @@ def first_bar_from(bars: DataFrame, entity: list[str], day: str, values: list[st
     bar of the next year that has some. ``year`` is the anchor's, the label is the found bar's.
     """
     year = F.least(anchor_year(F.col(day), month, day_of_month), F.lit(end_year))
-    at = F.struct(day, *(tie_break or []))
+    bar = F.struct(*dict.fromkeys([day, *(tie_break or []), *values]))
     earliest = (bars.filter(F.col(day) >= F.lit(dt.date(start_year, month, day_of_month)))
                 .groupBy(*entity, year.alias("_year"))
-                .agg(F.min_by(F.struct(day, *values), at).alias("_bar")))
+                .agg(F.min(bar).alias("_bar")))
     before = F.lag("_year").over(W.partitionBy(*entity).orderBy("_year"))
     anchors = F.sequence(F.coalesce(F.col("_before") + 1, F.lit(start_year)), F.col("_year"))
     found = (earliest.withColumn("_before", before)

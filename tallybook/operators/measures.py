@@ -35,22 +35,21 @@ def with_previous(df: DataFrame, entity: list[str], order: list[Column], columns
 
     Without ``bucket`` an entity's rows share one task, which suits keyed statements (one row per
     period). For an entity with very many rows give ``bucket``, a value that never falls along
-    ``order`` (a year, say): each bucket is its own group and only the last row of each bucket is
-    carried into the next. ``order`` must then be plain ascending columns.
+    ``order`` (a year, say): each bucket is then its own group, headed by a copy of the last row of
+    the bucket before it. ``order`` must then be plain ascending columns.
     """
     row = F.struct(*columns)
     if bucket is None:
         return df.withColumn("_previous", F.lag(row).over(W.partitionBy(*entity).orderBy(*order)))
     cut = df.withColumn("_bucket", bucket)
-    within = W.partitionBy(*entity, "_bucket").orderBy(*order)
-    tails = (cut.groupBy(*entity, "_bucket").agg(F.max_by(row, F.struct(*order)).alias("_last"))
-             .withColumn("_carried", F.lag("_last").over(W.partitionBy(*entity).orderBy("_bucket"))))
-    keys = [*entity, "_bucket"]
-    carried = tails.select(*[F.col(k).alias(f"_tail_{k}") for k in keys], "_carried")
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_tail_{k}")) for k in keys])
-    ranked = cut.withColumns({"_inside": F.lag(row).over(within), "_nth": F.row_number().over(within)})
-    return ranked.join(carried, same, "left").select(
-        *df.columns, F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_inside")).alias("_previous"))
+    last = cut.groupBy(*entity, "_bucket").agg(F.max_by(row, F.struct(*order)).alias("_last"))
+    before = F.lag("_last").over(W.partitionBy(*entity).orderBy("_bucket"))
+    heads = last.select(*entity, "_bucket", before.alias("_row"), F.lit(False).alias("_own")) \
+        .filter(F.col("_row").isNotNull())
+    rows = cut.withColumns({"_row": row, "_own": F.lit(True)}).unionByName(heads, allowMissingColumns=True)
+    within = W.partitionBy(*entity, "_bucket").orderBy("_own", *order)
+    return rows.withColumn("_previous", F.lag("_row").over(within)).filter("_own") \
+        .select(*df.columns, "_previous")
 
 
 def with_growth(df: DataFrame, entity: list[str], order: list[Column], growth: dict[str, str],
