@@ -90,9 +90,18 @@ def load_statements(pages: DataFrame, section_id: str, labels: list[str] | None
     return pivot_cells(cells, [company], names).fillna(0, subset=names)
 
 
-def load_bars(bars: DataFrame, start_year: int, end_year: int, **settings) -> DataFrame:
-    """Fiscal-year bars of all companies."""
-    return fiscal_year_bars(bars, ["company"], "date", start_year, end_year, **settings)
+def load_bars(bars: DataFrame, start_year: int, end_year: int, names: DataFrame | None = None,
+              **settings) -> DataFrame:
+    """Fiscal-year bars of all companies.
+
+    ``names`` (``symbol, company``) turns the symbols that bars come under into company names; it is
+    joined to the yearly rows, not to the daily ones. Symbols without a name are left out.
+    """
+    yearly = fiscal_year_bars(bars, ["company"], "date", start_year, end_year, **settings)
+    if names is None:
+        return yearly
+    return yearly.withColumnRenamed("company", "symbol").join(names, "symbol") \
+        .select("date", "company", "open", "high", "low", "close", "volume")
 
 
 def without_summary(snapshot: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallybook.operators.bars import first_bar_from, fiscal_year_bars
+from tallybook.plans.jobs import load_bars
 from tallybook.queries.inputs import table
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
@@ -29,6 +30,12 @@ def fy_ohlcv_range_end_exclusive(spark, sf_dir):
                             end_inclusive=False, tie_break=LINE_ORDER)
 
 
+def fy_ohlcv_by_name(spark, sf_dir):
+    bars = _line_bars(spark, sf_dir).withColumnRenamed("day", "date")
+    names = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("symbol"), F.col("s_name").alias("company"))
+    return load_bars(bars, FIRST_YEAR, LAST_YEAR, names, tie_break=LINE_ORDER)
+
+
 def _asof(spark, sf_dir, **settings):
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("company"), F.col("o_orderdate").alias("day"), "o_orderkey",
@@ -46,8 +53,8 @@ def asof_forward_within_90_days(spark, sf_dir):
     return _asof(spark, sf_dir, max_gap_days=90)
 
 
-QUERIES = {f.__name__: f for f in (fy_ohlcv, fy_ohlcv_range_end_exclusive, asof_forward,
-                                   asof_forward_within_90_days)}
+QUERIES = {f.__name__: f for f in (fy_ohlcv, fy_ohlcv_range_end_exclusive, fy_ohlcv_by_name,
+                                   asof_forward, asof_forward_within_90_days)}
 
 _BY = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity"
 _DESC = ", ".join(f"{c} DESC" for c in _BY.split(", "))
@@ -78,6 +85,8 @@ ORACLE = {
     "fy_ohlcv_range_end_exclusive": _ohlcv(
         f"l_shipdate >= DATE '{FIRST_YEAR - 1}-04-01' AND l_shipdate < DATE '{LAST_YEAR}-04-01' "
         "AND NOT (month(l_shipdate) = 3 AND day(l_shipdate) = 31)"),
+    "fy_ohlcv_by_name": f"""WITH b AS ({_ohlcv(f"l_shipdate >= DATE '{FIRST_YEAR - 1}-04-01' AND l_shipdate < DATE '{LAST_YEAR}-04-01'")})
+SELECT date, s_name AS company, open, high, low, close, volume FROM b JOIN supplier ON s_suppkey = company""",
     "asof_forward": _asof_sql("TRUE"),
     "asof_forward_within_90_days": _asof_sql("date_diff('day', anchor, CAST(o_orderdate AS DATE)) <= 90"),
 }

@@ -101,7 +101,8 @@ def upsert_snapshot(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     cdc_flatten, cdc_latest_single_key, cdc_latest_composite_key, cdc_deleted_keys, cdc_resolve_by_time,
     cdc_resolve_sticky, merge_incoming_wins, merge_incoming_wins_single_key, merge_keep_existing,
-    apply_deletes_composite, apply_deletes_global, prefix_filter, upsert_snapshot)}
+    apply_deletes_global, upsert_snapshot)}
+QUERIES.update({"apply_deletes": apply_deletes_composite, "exclude_prefix": prefix_filter})
 
 _FLAT = f"""{EVENTS_SQL},
 flat AS (SELECT CASE WHEN NOT gone THEN user_id END AS user_id, CASE WHEN NOT gone THEN k END AS k,
@@ -144,13 +145,13 @@ FROM g LEFT JOIN l ON g.user_id = l.user_id AND g.k = l.k""",
     "merge_incoming_wins": _merge("user_id, k", "LEFT"),
     "merge_incoming_wins_single_key": _merge("user_id", "LEFT"),
     "merge_keep_existing": _merge("user_id, k", "FULL"),
-    "apply_deletes_composite": f"""WITH {EVENTS_SQL}, l AS ({_latest('ev', 'user_id, k')})
+    "apply_deletes": f"""WITH {EVENTS_SQL}, l AS ({_latest('ev', 'user_id, k')})
 SELECT user_id, k, event_type, value, ts_ms, lsn FROM l
 WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.gone AND ev.user_id = l.user_id AND ev.k = l.k)""",
     "apply_deletes_global": f"""WITH {EVENTS_SQL}, l AS ({_latest('ev', 'user_id, k')})
 SELECT user_id, k, event_type, value, ts_ms, lsn FROM l
 WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 150)""",
-    "prefix_filter": "SELECT * FROM part WHERE NOT starts_with(p_type, 'PROMO')",
+    "exclude_prefix": "SELECT * FROM part WHERE NOT starts_with(p_type, 'PROMO')",
     "upsert_snapshot": """
 SELECT c_custkey, c_name, c_nationkey,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal, c_mktsegment

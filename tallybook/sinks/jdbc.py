@@ -48,14 +48,17 @@ def run_statements(connect: Callable, *statements: str) -> None:
         connection.close()
 
 
-def replace_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
-    df.write.mode("overwrite").jdbc(url, table, properties=properties or {})
+def replace_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
+                 connections: int = 16) -> None:
+    """Write ``df`` as the table's new content over at most ``connections`` connections."""
+    df.write.mode("overwrite").option("numPartitions", connections).jdbc(url, table, properties=properties or {})
 
 
 def upsert_jdbc(df: DataFrame, url: str, table: str, keys: list[str], connect: Callable,
-                staging: str | None = None, properties: dict[str, str] | None = None) -> None:
+                staging: str | None = None, properties: dict[str, str] | None = None,
+                connections: int = 16) -> None:
     """Upsert ``df`` (one row per key) into ``table``."""
     stage = staging or f"{table}_staging"
-    replace_jdbc(df, url, stage, properties)
+    replace_jdbc(df, url, stage, properties, connections)
     run_statements(connect, create_statement(table, df.schema, keys),
                    upsert_statement(table, stage, keys, df.columns))

@@ -135,7 +135,7 @@ def test_jdbc_upsert_stages_then_runs_one_transaction(spark, monkeypatch):
         def close(self):
             calls.append("close")
 
-    monkeypatch.setattr(jdbc, "replace_jdbc", lambda df, url, table, properties: calls.append(table))
+    monkeypatch.setattr(jdbc, "replace_jdbc", lambda df, url, table, *rest: calls.append(table))
     jdbc.upsert_jdbc(spark.createDataFrame([(1, 2.0)], "k bigint, v double"), "jdbc:x", "t", ["k"], Connection)
     assert calls == ["t_staging", "CREATE", "INSERT", "commit", "close"]
 

@@ -32,7 +32,7 @@ def test_only_needed_columns_are_read(spark, name, columns):
 
 @pytest.mark.parametrize("name, shuffles", [
     ("cdc_latest_composite_key", 1), ("cdc_resolve_by_time", 1), ("cdc_resolve_sticky", 1), ("fy_ohlcv", 1),
-    ("kpi_ratios", 1), ("html_list_items", 0), ("prefix_filter", 0),
+    ("kpi_ratios", 1), ("html_list_items", 0), ("exclude_prefix", 0),
     # Line items by month; both sides of the merge by key; the joined rows by company; the final sort.
     ("statement_kpis", 5),
     # Bars by company and year, then the few rows left by company.
