@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm.packing import pack_documents
+from tallybook.llm.secret_scan import BASE_KINDS, find_secrets
+from tallybook.llm.winnowing import edit_check
 
 QUERIES, ORACLE = {}, {}
 
@@ -32,3 +34,26 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                             vocabulary("byte_bpe_50k.tiktoken"))
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id",
                          "offset")
+
+
+@query
+def op3_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = edit_check(table(spark, sf_dir, "documents"))
+
+    def text_of(hashes: str):
+        return F.expr(f"array_join(transform({hashes}, x -> hex(x)), ' ')")
+
+    return checked.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                          text_of("hashes").alias("fingerprint"), text_of("edited_hashes").alias("edited_fingerprint"),
+                          "near_edited", "near_next")
+
+
+@query
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
+    base = "filter(secret_spans, s -> s.kind in ({}))".format(", ".join(f"'{k}'" for k in BASE_KINDS))
+    count = "cast(size(filter(secret_spans, s -> s.kind = '{}')) as bigint)"
+    return found.select("doc_id", *[F.expr(count.format(k)).alias(f"n_{k}") for k in BASE_KINDS],
+                        F.sha2(F.expr(listed.format(base)), 256).alias("base_sha256"),
+                        F.expr(listed.format("secret_spans")).alias("spans"))
