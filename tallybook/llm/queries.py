@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm.ngram_join import near_duplicate_classes
 from tallybook.llm.packing import pack_documents
 from tallybook.llm.secret_scan import BASE_KINDS, find_secrets
 from tallybook.llm.winnowing import edit_check
@@ -57,3 +58,8 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.expr(count.format(k)).alias(f"n_{k}") for k in BASE_KINDS],
                         F.sha2(F.expr(listed.format(base)), 256).alias("base_sha256"),
                         F.expr(listed.format("secret_spans")).alias("spans"))
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
