@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm.mixing import mix_sources
 from tallybook.llm.ngram_join import near_duplicate_classes
+from tallybook.llm.outliers import reject_outliers
 from tallybook.llm.packing import pack_documents
 from tallybook.llm.secret_scan import BASE_KINDS, find_secrets
 from tallybook.llm.winnowing import edit_check
@@ -63,3 +65,16 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mix_sources(docs, key=F.col("doc_id"))
+
+
+@query
+def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return reject_outliers(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                        "base_failed", "kept", "distance")
