@@ -123,3 +123,23 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray
                 yield first + k, mix(np.array([whole], np.uint64))
             else:
                 yield first + k, np.empty(0, np.uint64)
+
+
+#: Class of each byte: 0 white space, 1 letter (all of a multi-byte character counts as letters), 2 digit, 3 other.
+BYTE_CLASS = np.full(256, 3, np.uint8)
+BYTE_CLASS[SPACES] = 0
+BYTE_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+BYTE_CLASS[48:58] = 2
+
+
+def class_runs(piece: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each run of bytes of one class other than white space."""
+    kind = BYTE_CLASS[piece]
+    n = len(kind)
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    change = edge.copy()
+    change[1:n] |= kind[1:] != kind[:-1]
+    starts = np.flatnonzero(change[:n] & (kind != 0))
+    ends = np.flatnonzero(change[1:] & (kind != 0)) + 1
+    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
