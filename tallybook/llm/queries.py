@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm.fixity import audit_pages
 from tallybook.llm.mixing import mix_sources
 from tallybook.llm.ngram_join import near_duplicate_classes
 from tallybook.llm.outliers import reject_outliers
 from tallybook.llm.packing import pack_documents
+from tallybook.llm.quality import score_quality, train_quality
 from tallybook.llm.secret_scan import BASE_KINDS, find_secrets
+from tallybook.llm.token_counts import count_pieces
+from tallybook.llm.toxicity import score_toxicity, train_toxicity
 from tallybook.llm.winnowing import edit_check
 
 QUERIES, ORACLE = {}, {}
@@ -78,3 +82,60 @@ def op7_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     return reject_outliers(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                         "base_failed", "kept", "distance")
+
+
+@query
+def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = train_toxicity(docs, table(spark, sf_dir, "labels"), ["toxic"])
+    return score_toxicity(docs, chain).select("doc_id", "p_toxic", "p_severe", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = train_quality(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                             (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_pieces(docs, vocabulary("piece_bpe_32k.model")).drop("text")
+
+
+@query
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second replica has a changed character in some records and some that cannot be read."""
+    half = F.expr("length(html) div 2")
+    changed = F.concat(F.substring("html", F.lit(1), half), F.lit("~"), F.expr("substring(html, length(html) div 2 + 2)"))
+    replica = (F.when(F.expr("page_id % 499 = 7"), F.lit(None).cast("string"))
+               .when(F.expr("page_id % 101 = 3"), changed).otherwise(F.col("html")))
+    return audit_pages(table(spark, sf_dir, "pages"), replica)
+
+
+ORACLE["op8_warc_fixity"] = """
+WITH two AS (
+  SELECT page_id, url, html, CASE WHEN page_id % 499 = 7 THEN NULL
+    WHEN page_id % 101 = 3 THEN substr(html, 1, length(html) // 2) || '~' || substr(html, length(html) // 2 + 2)
+    ELSE html END AS copy
+  FROM pages),
+records AS (
+  SELECT page_id, copy IS NOT NULL OR html IS NULL AS readable,
+    'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id
+      || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head,
+    coalesce(html, '') AS html, coalesce(copy, '') AS copy, chr(13) || chr(10) || chr(13) || chr(10) AS gap
+  FROM two),
+hashed AS (
+  SELECT page_id, strlen(head || strlen(html) || gap || html || gap) AS size, sha256(head || strlen(html) || gap || html || gap) AS content,
+    CASE WHEN readable THEN sha256(head || strlen(copy) || gap || copy || gap) END AS copy
+  FROM records),
+placed AS (
+  SELECT page_id, page_id // 1024 AS file, size, content, copy,
+    row_number() OVER (PARTITION BY page_id // 1024 ORDER BY page_id, content, copy) - 1 AS seq,
+    CAST(sum(size) OVER (PARTITION BY page_id // 1024 ORDER BY page_id, content, copy ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end"
+  FROM hashed)
+SELECT page_id, file, seq, "end" - size AS "start", "end", content, content IS DISTINCT FROM copy AS damaged FROM placed
+"""

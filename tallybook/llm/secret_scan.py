@@ -117,15 +117,20 @@ def find_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
         f"'start', s.start, 'kind', array({names})[s.rank], 'end', s.end))")).drop("__base", "__more")
 
 
-def redact(docs: DataFrame, text_column: str = "text", mask: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, text_column: str = "text", mask: str = "[secret]",
+           length_column: str | None = None) -> DataFrame:
     """``docs`` with every secret span of the text replaced by ``mask`` (overlapping spans once); no row is lost.
 
-    A null text stays null; texts without secrets are unchanged.
+    A null text stays null; texts without secrets are unchanged. ``length_column`` follows where a text changes.
     """
     done = find_secrets(docs, text_column)
     cut = (f"aggregate(secret_spans, named_struct('at', 0L, 'out', ''), (a, s) -> if(s.end <= a.at, a, named_struct("
            f"'at', s.end, 'out', concat(a.out, if(s.start < a.at, '', concat(substring(`{text_column}`, "
            f"cast(a.at as int) + 1, cast(s.start - a.at as int)), '{mask}'))))), "
            f"a -> concat(a.out, substring(`{text_column}`, cast(a.at as int) + 1, 2147483647)))")
-    return done.withColumn(text_column, F.expr(
-        f"if(size(secret_spans) = 0, `{text_column}`, {cut})")).drop("secret_spans")
+    done = done.withColumn(text_column, F.expr(f"if(size(secret_spans) = 0, `{text_column}`, {cut})"))
+    if length_column:
+        kind = docs.schema[length_column].dataType
+        done = done.withColumn(length_column, F.when(F.size("secret_spans") > 0, F.length(text_column)).otherwise(
+            F.col(length_column)).cast(kind))
+    return done.drop("secret_spans")
