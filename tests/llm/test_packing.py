@@ -1,0 +1,80 @@
+"""Packing: exact round trip of ids, whole sequences, and close to the least number of them."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from public_tokenizers import path
+
+from tallybook.llm import queries
+from tallybook.llm.bpe import PieceTokenizer
+from tallybook.llm.packing import OpenBins, cut, pack_documents
+
+JSON, RANKS = path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken")
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    return PieceTokenizer(JSON, RANKS)
+
+
+def test_ids_equal_the_tokenizer(tokens):
+    rng = random.Random(1)
+    parts = ["'", "s", "t", "re", "ve", "ll", "d", " ", "  ", "\n", "\r\n", "\t", "a", "é", "1", "½", "!", "|", " ",
+             "漢", "😀", "'s", "A", "_", "'re", "l", "<|endoftext|>", "́", "²", "͸", "\x00"]
+    texts = ["", " "] + ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    ids, counts = tokens.encode(texts)
+    ends = np.cumsum(counts)
+    for text, end, n in zip(texts, ends, counts):
+        assert ids[end - n:end].tolist() == tokens.exact.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_cut():
+    assert cut(1, 8) == [(0, 1)] and cut(8, 8) == [(0, 8)] and cut(16, 8) == [(0, 8), (8, 8)]
+    assert cut(19, 8) == [(0, 3), (3, 8), (11, 8)]
+
+
+def test_open_bins_choose_the_tightest_and_close_the_fullest():
+    bins = OpenBins(10, 2)
+    assert bins.add(6, "a") == [] and bins.add(7, "b") == []
+    assert bins.add(3, "c") == [[(7, "b"), (3, "c")]]        # the tightest, which is then full
+    assert bins.add(9, "d") == []
+    assert bins.add(5, "e") == [[(9, "d")]]                   # none fits and all are open: the fullest closes
+    assert sorted(len(b) for b in bins.finish()) == [1, 1]
+
+
+def check(rows, docs, tokens, slack):
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    for key, text in docs:
+        want = tokens.exact.encode(text or "", add_special_tokens=False).ids + [2]
+        pieces = sorted(by_doc[key], key=lambda r: r.piece)
+        assert [(p.piece, p.start, p.length) for p in pieces] == [(i, s, n) for i, (s, n) in enumerate(cut(len(want), 1024))]
+        for p in pieces:
+            own = np.array(want[p.start:p.start + p.length], "<u4").tobytes()
+            assert (own == p.ids) if "ids" in p.asDict() else zlib.crc32(own) == p.ids_crc32
+    for pieces in by_sequence.values():
+        at = 0
+        for p in sorted(pieces, key=lambda r: r.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= 1024
+    assert len(by_sequence) <= slack + 1.02 * sum(r.length for r in rows) / 1024
+
+
+def test_edge_cases(spark, tokens):
+    docs = [(1, None), (2, ""), (3, "x" * 20000), (4, "short"), (5, "word " * 3000)]
+    frame = spark.createDataFrame([(k, t, 0) for k, t in docs], "doc_id long, text string, piece int").coalesce(1)
+    check(pack_documents(frame, JSON, RANKS).collect(), docs, tokens, 2)
+    repeated = spark.createDataFrame([(7, "same")] * 5 + [(None, "no id")], "doc_id long, text string").coalesce(1)
+    assert len({(r.sequence_id, r.offset) for r in pack_documents(repeated, JSON).collect()}) == 6
+    assert pack_documents(frame.limit(0), JSON, RANKS).count() == 0
+
+
+def test_query(spark, tokens):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    check(queries.QUERIES["op2_best_fit_packing"](spark, FOLDER).collect(), docs, tokens, 8)

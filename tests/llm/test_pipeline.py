@@ -1,0 +1,71 @@
+"""The pipeline stage by stage against plain versions of what each has to do."""
+
+from collections import Counter
+
+import corpus_pipeline as pipeline
+import pytest
+from test_ngram_join import plain as classes
+from test_secret_scan import plain as secrets
+
+FOLDER = "/root/testdata/sf0.01"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stages")
+    docs, out = spark.read.parquet(f"{FOLDER}/documents.parquet"), []
+    out.append(docs.collect())
+    for name, stage in pipeline.STAGES:
+        stage(spark, docs, FOLDER).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        out.append(docs.collect())
+        if name != pipeline.STAGES[-1][0]:
+            assert docs.columns == COLUMNS
+    return out
+
+
+def test_toxic_documents_go_and_clean_ones_stay(spark, stages):
+    kept = {r.doc_id for r in stages[1]}
+    marks = [r for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()]
+    assert all(r.doc_id in kept for r in marks if r.toxic == 0)
+    toxic = [r.doc_id not in kept for r in marks if r.toxic == 1 and r.quality == 1]
+    assert sum(toxic) >= 0.9 * len(toxic)
+
+
+def test_one_document_of_each_class_stays(stages):
+    want = sorted({c for _, _, c in classes([(r.doc_id, r.text) for r in stages[1]])})
+    assert sorted(r.doc_id for r in stages[2]) == want
+
+
+def test_secrets_are_masked_and_nothing_else(stages):
+    before, after = ({r.doc_id: r for r in s} for s in stages[2:4])
+    assert before.keys() == after.keys()
+    changed = [k for k in before if before[k].text != after[k].text]
+    assert sorted(changed) == sorted(k for k in before if secrets(before[k].text))
+    assert changed and all(after[k].n_chars == len(after[k].text) for k in changed)
+
+
+def test_mix_keeps_every_document(stages):
+    assert Counter(stages[3]) == Counter(stages[4]) and stages[3] != stages[4]
+
+
+def test_packing_takes_every_document(stages):
+    assert {r.doc_id for r in stages[5]} == {r.doc_id for r in stages[4]}
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, None, None, None, None), (None, "no id at all", "en", "a", 12), (None, "no id at all", "en", "a", 12),
+            (2, "same text here", "en", "a", 14), (2, "same text here", "en", "a", 14), (3, "Same text here", "en", None, 14),
+            (4, "", "en", "a", 0)]
+    for given, ids in ((rows, [None, None, 1, 2, 4]), ([], [])):
+        docs = spark.createDataFrame(given, schema)
+        for _, stage in pipeline.STAGES[:-1]:
+            docs = spark.createDataFrame(stage(spark, docs, FOLDER).collect(), schema)
+        assert sorted((r.doc_id for r in docs.collect()), key=lambda k: (k is not None, k)) == ids
+
+
+def test_run_is_the_stages_in_a_row(spark, stages):
+    got = pipeline.run(spark, FOLDER).collect()
+    assert Counter((r.doc_id, r.piece, r.ids) for r in got) == Counter((r.doc_id, r.piece, r.ids) for r in stages[5])
