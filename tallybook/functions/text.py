@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named character references and the characters they stand for.
-NAMED_REFERENCES = {
-    "nbsp": "\u00a0", "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
-    "copy": "©", "reg": "®", "middot": "·", "deg": "°", "times": "×", "minus": "−",
-    "cent": "¢", "pound": "£", "yen": "¥", "euro": "€", "ndash": "–", "mdash": "—",
-    "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-}
-REFERENCE = r"^&(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z]+);"
+#: All standard names ("amp;"); those of the oldest ones also count without their semicolon ("amp").
+BARE_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+NUMERIC = r"^&#(?:[xX]([0-9A-Fa-f]+)|([0-9]+));?"
+NAMED = r"^&([A-Za-z][A-Za-z0-9]*;)"
+BARE = rf"^&({'|'.join(BARE_NAMES)})"
+#: Numbers 128 to 159 mean the characters that the Windows code page has there.
+WINDOWS = {code: bytes([code]).decode("cp1252") for code in range(128, 160) if code not in (129, 141, 143, 144, 157)}
 # The characters counted as white space.
 SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
           "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -37,15 +38,29 @@ def normalise_label(label: Column) -> Column:
     return strip(name)
 
 
+def _map(entries: dict) -> Column:
+    return F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in entries.items())), F.lit("\x02"), F.lit("\x01"))
+
+
 def _decode_leading_reference(piece: Column) -> Column:
-    name = F.regexp_extract(piece, REFERENCE, 1)
-    code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 12), 16, 10)) \
-        .otherwise(F.substring(name, 2, 12)).try_cast("int")
+    digits = F.ltrim(F.regexp_extract(piece, NUMERIC, 2), F.lit("0"))
+    hexes = F.ltrim(F.regexp_extract(piece, NUMERIC, 1), F.lit("0"))
+    # Seven digits hold every code point; longer numbers are beyond them all.
+    code = F.when(hexes != "", F.when(F.length(hexes) <= 7, F.conv(hexes, 16, 10))) \
+        .otherwise(F.when(F.length(digits) <= 7, digits)).try_cast("int")
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
-    table = F.str_to_map(F.lit("|".join(f"{k}={v}" for k, v in NAMED_REFERENCES.items())), F.lit("\\|"), F.lit("="))
-    char = F.when(name.startswith("#"), numeric).otherwise(F.try_element_at(table, name))
-    return F.when(char.isNull(), piece).otherwise(F.concat(char, F.regexp_replace(piece, REFERENCE, "")))
+    plain = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    numeric = F.coalesce(F.try_element_at(_map(WINDOWS), code.cast("string")), plain)
+    named = F.try_element_at(_map({k: v for k, v in html5.items() if k.endswith(";")}), F.regexp_extract(piece, NAMED, 1))
+    bare = F.try_element_at(_map({k: html5[k] for k in BARE_NAMES}), F.regexp_extract(piece, BARE, 1))
+
+    def rest(pattern: str) -> Column:
+        return F.regexp_replace(piece, pattern, "")
+
+    return (F.when(~piece.startswith("&"), piece)
+            .when(piece.rlike(NUMERIC), F.concat(numeric, rest(NUMERIC)))
+            .when(named.isNotNull(), F.concat(named, rest(NAMED)))
+            .when(bare.isNotNull(), F.concat(bare, rest(BARE))).otherwise(piece))
 
 
 def decode_references(text: Column) -> Column:

@@ -12,15 +12,14 @@ from tallybook.functions.times import anchor_year, fiscal_label, fiscal_year, pe
 
 
 def fiscal_year_bars(bars: DataFrame, entity: list[str], day: str, start_year: int | None = None,
-                     end_year: int | None = None, end_inclusive: bool = True,
-                     tie_break: list[str] | None = None) -> DataFrame:
+                     end_year: int | None = None, end_inclusive: bool = True) -> DataFrame:
     """First open, highest high, lowest low, last close and total volume per entity and fiscal year.
 
     A fiscal year runs from April 1 to March 31 and is named after its last month. Years without
     bars give no row. The year range becomes a plain range on ``day``, which reaches the scan.
-    ``tie_break`` orders bars of the same day; without it the aggregation stays hash-based.
-    ``end_inclusive=False`` leaves out each March 31. The aggregates combine on the map side, so an
-    entity with very many bars sends one row per year and task.
+    Takes one bar per entity and day. ``end_inclusive=False`` leaves out each March 31. The aggregates
+    are hash-based and combine on the map side, so an entity with very many bars sends one row per
+    year and task.
     """
     kept = bars.filter(F.col(day).isNotNull())
     if start_year is not None:
@@ -29,11 +28,7 @@ def fiscal_year_bars(bars: DataFrame, entity: list[str], day: str, start_year: i
         kept = kept.filter(F.col(day) < F.lit(dt.date(end_year, 4, 1)))
     if not end_inclusive:
         kept = kept.filter((F.month(day) != 3) | (F.dayofmonth(day) != 31))
-    if tie_break:
-        opening = F.min(F.struct(day, *tie_break, "open")).getField("open")
-        closing = F.max(F.struct(day, *tie_break, "close")).getField("close")
-    else:
-        opening, closing = F.min_by("open", day), F.max_by("close", day)
+    opening, closing = F.min_by("open", day), F.max_by("close", day)
     return (kept.groupBy(*entity, fiscal_year(F.col(day)).alias("_year"))
             .agg(opening.alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
                  closing.alias("close"), F.sum("volume").alias("volume"))
@@ -41,24 +36,31 @@ def fiscal_year_bars(bars: DataFrame, entity: list[str], day: str, start_year: i
                     "open", "high", "low", "close", "volume"))
 
 
-def first_bar_from(bars: DataFrame, entity: list[str], day: str, values: list[str], start_year: int,
-                   end_year: int, month: int = 3, day_of_month: int = 1, max_gap_days: int | None = None,
-                   tie_break: list[str] | None = None) -> DataFrame:
+def first_bar_from(bars: DataFrame, entity: list[str], day: str, values: list[str], start_year: int | None = None,
+                   end_year: int | None = None, month: int = 3, day_of_month: int = 1,
+                   max_gap_days: int | None = None) -> DataFrame:
     """For each entity and year, the first bar on or after the anchor date of that year.
 
+    Takes one bar per entity and day. Without ``start_year`` an entity's years begin with that of its
+    first bar, without ``end_year`` they end with that of its last.
+
     Bars are first reduced, on the map side too, to the earliest one between two anchors; what is
     left is at most one row per entity and year. A year without bars of its own takes the earliest
     bar of the next year that has some. ``year`` is the anchor's, the label is the found bar's.
     """
-    year = F.least(anchor_year(F.col(day), month, day_of_month), F.lit(end_year))
-    bar = F.struct(*dict.fromkeys([day, *(tie_break or []), *values]))
-    earliest = (bars.filter(F.col(day) >= F.lit(dt.date(start_year, month, day_of_month)))
-                .groupBy(*entity, year.alias("_year"))
-                .agg(F.min(bar).alias("_bar")))
+    year = anchor_year(F.col(day), month, day_of_month)
+    if end_year is not None:
+        year = F.least(year, F.lit(end_year))
+    kept = bars.filter(F.col(day).isNotNull())
+    if start_year is not None:
+        kept = kept.filter(F.col(day) >= F.lit(dt.date(start_year, month, day_of_month)))
+    earliest = (kept.groupBy(*entity, year.alias("_year"))
+                .agg(F.min(day).alias("_day"), *[F.min_by(v, day).alias(v) for v in values]))
     before = F.lag("_year").over(W.partitionBy(*entity).orderBy("_year"))
-    anchors = F.sequence(F.coalesce(F.col("_before") + 1, F.lit(start_year)), F.col("_year"))
+    first = F.col("_year") if start_year is None else F.lit(start_year)
+    anchors = F.sequence(F.coalesce(F.col("_before") + 1, first), F.col("_year"))
     found = (earliest.withColumn("_before", before)
-             .select(*entity, F.explode(anchors).alias("year"), "_bar.*"))
+             .select(*entity, F.explode(anchors).alias("year"), F.col("_day").alias(day), *values))
     if max_gap_days is not None:
         anchor = F.make_date(F.col("year"), F.lit(month), F.lit(day_of_month))
         found = found.filter(F.date_diff(F.col(day), anchor) <= max_gap_days)

@@ -63,21 +63,20 @@ def with_growth(df: DataFrame, entity: list[str], order: list[Column], growth: d
     return previous.withColumns(change).drop("_previous")
 
 
-def mean(column: str, decimals: int | None = None) -> Column:
-    """Mean rounded to 2. With ``decimals`` the sum is exact, hence the same in any row order."""
-    if decimals is None:
-        return F.round(F.avg(column), 2)
-    total = F.sum(F.col(column).cast(f"decimal(28,{decimals})")).cast("double")
-    return F.round(F.try_divide(total, F.count(column)), 2)
-
-
-def append_summary(detail: DataFrame, label: str, measures: list[str], decimals: int | None = None,
-                   name: str = SUMMARY_LABEL) -> DataFrame:
-    """Detail rows plus one row of means, with ``sort_key`` 2 for the summary and 1 for the rest."""
-    average = detail.agg(*[mean(m, decimals).alias(m) for m in measures])
-    summary = average.select(F.lit(name).alias(label), *measures, F.lit(2).alias("sort_key"))
-    ranked = detail.select(label, *measures, F.when(F.col(label) == name, 2).otherwise(1).alias("sort_key"))
-    return ranked.unionByName(summary)
+def append_summary(detail: DataFrame, label: str, measures: list[str], name: str = SUMMARY_LABEL) -> DataFrame:
+    """Detail rows plus one row of means (rounded to 2), with ``sort_key`` 2 for the summary and 1 for the rest.
+
+    ``label`` is the key of ``detail``, so the rows and their means come out of one roll-up and ``detail``
+    is evaluated once. A table without rows has no row of means.
+    """
+    rolled = detail.rollup(label).agg(
+        F.grouping_id().alias("_total"), *[F.max(m).alias(m) for m in measures],
+        *[F.round(F.avg(m), 2).alias(f"_mean_{m}") for m in measures])
+    total = F.col("_total") == 1
+    return rolled.select(
+        F.when(total, F.lit(name)).otherwise(F.col(label)).alias(label),
+        *[F.when(total, F.col(f"_mean_{m}")).otherwise(F.col(m)).alias(m) for m in measures],
+        F.when(total | (F.col(label) == name), 2).otherwise(1).alias("sort_key"))
 
 
 def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -53,9 +53,17 @@ def apply_deletes(df: DataFrame, deleted: DataFrame, keys: list[str], salts: int
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows replace target rows of the same key; new keys are added."""
-    kept = target.join(incoming.select(*keys), on=keys, how="left_anti").select(*target.columns)
-    return kept.unionByName(incoming.select(*target.columns))
+    """Incoming rows replace target rows of the same key, nulls included; new keys are added.
+
+    One row per key on the incoming side; each side is read once.
+    """
+    rest = [c for c in target.columns if c not in keys]
+    new = incoming.select(*keys, F.struct(*rest, F.lit(True).alias("_")).alias("_new"))
+    old = target.select(*keys, F.struct(*rest).alias("_old"))
+    newer = F.col("_new").isNotNull()
+    return old.join(new, on=keys, how="full").select(*[
+        F.col(c) if c in keys else F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c)
+        for c in target.columns])
 
 
 def exclude_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:

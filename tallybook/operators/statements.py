@@ -5,53 +5,57 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import clean_number, normalise_label
 
 
+UNNAMED = "unnamed"
+
+
 def melt_periods(wide: DataFrame, keys: list[str], label: str, periods: list[str],
                  position: str | None = None) -> DataFrame:
-    """Wide rows (one column per period) to ``keys, row_no, label, period, value``."""
+    """Wide rows (one column per period) to ``keys, row_no, col_no, label, period, value``.
+
+    ``position`` names the column that orders the rows of a table; without it repeated labels are
+    told apart by their values.
+    """
     row_no = F.col(position) if position else F.lit(0)
     tall = wide.select(*keys, row_no.alias("row_no"), F.col(label).alias("label"), *periods)
-    return tall.unpivot([*keys, "row_no", "label"], periods, "period", "value")
+    numbers = F.array_position(F.lit(periods), F.col("period")).cast("int")
+    return tall.unpivot([*keys, "row_no", "label"], periods, "period", "value").withColumn("col_no", numbers)
 
 
-def clean_cells(cells: DataFrame) -> DataFrame:
-    """Labels to column names, texts to doubles."""
-    return cells.withColumns({"label": normalise_label(F.col("label")), "value": clean_number(F.col("value"))})
+def clean_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Labels to column names, texts to doubles. No cell is lost.
 
-
-def line_items(cells: DataFrame, max_columns: int = 2000) -> list[str]:
-    """Distinct labels, the columns of the transposed table; an error if there are too many.
-
-    The list becomes a schema, so it has to reach the driver. The check reads at most one label
-    more than allowed, and refuses rather than cuts.
+    An empty label is called ``unnamed``. Labels of one table column that come out the same get
+    ``_2``, ``_3``, … in the order of their rows. A table's column is one group.
     """
-    found = [r.label for r in cells.select("label").distinct().limit(max_columns + 1).collect()]
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} distinct line items; pass the wanted labels")
-    return sorted(label for label in found if label)
+    named = cells.withColumns({
+        "label": F.coalesce(F.nullif(normalise_label(F.col("label")), F.lit("")), F.lit(UNNAMED)),
+        "value": clean_number(F.col("value"))})
+    nth = F.row_number().over(W.partitionBy(*keys, "col_no", "label").orderBy("row_no", "value"))
+    return (named.withColumn("_nth", nth)
+            .withColumn("label", F.when(F.col("_nth") > 1, F.concat("label", F.lit("_"), F.col("_nth").cast("string")))
+                        .otherwise(F.col("label"))).drop("_nth"))
 
 
 def pivot_cells(cells: DataFrame, keys: list[str], labels: list[str]) -> DataFrame:
-    """One row per period, one column per line item; the first of repeated labels counts.
+    """One row per table column (a period), one column per wanted line item.
 
-    One conditional aggregate per label needs a single shuffle with partial aggregation.
+    Columns with the same period stay rows of their own. One conditional aggregate per label needs a
+    single shuffle with partial aggregation.
     """
-    def column(label: str):
-        match = F.col("label") == label
-        return F.min_by(F.when(match, F.col("value")), F.when(match, F.col("row_no"))).alias(label)
-
-    return (cells.groupBy(*keys, "period").agg(*[column(x) for x in labels])
-            .select(F.col("period").alias("date"), *labels, *keys))
+    values = [F.max(F.when(F.col("label") == x, F.col("value"))).alias(x) for x in labels]
+    return cells.groupBy(*keys, "col_no", "period").agg(*values).select(F.col("period").alias("date"), *labels, *keys)
 
 
 def transpose(wide: DataFrame, keys: list[str], label: str, periods: list[str], labels: list[str],
               position: str | None = None) -> DataFrame:
     """Line items x periods to periods x line items, cleaned, with gaps filled by 0."""
-    cells = clean_cells(melt_periods(wide, keys, label, periods, position))
+    cells = clean_cells(melt_periods(wide, keys, label, periods, position), keys)
     return pivot_cells(cells, keys, labels).fillna(0, subset=labels)
 
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.times import period_start
 from tallybook.operators.bars import fiscal_year_bars
-from tallybook.operators.changes import flatten_changes, resolve_changes
+from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_per_key, resolve_changes,
+                                         upserts)
 from tallybook.operators.measures import (append_summary, complete_rows, summary_last, with_growth,
                                           with_ratios)
-from tallybook.operators.merge import exclude_prefix, merge_changes
-from tallybook.operators.statements import clean_cells, line_items, pivot_cells
+from tallybook.operators.merge import apply_deletes, exclude_prefix, merge_changes, merge_snapshot
+from tallybook.operators.statements import clean_cells, pivot_cells
 from tallybook.schemas import MEASURES, SUMMARY_LABEL, TRAILING_LABEL, statement_schema
 from tallybook.session import materialise
 from tallybook.sources.pages import page_tables, table_cells
@@ -21,11 +22,24 @@ LAST_DAY = "9999-12-31"  # stands in for periods that name no month
 
 
 def merged_statements(envelopes: DataFrame, existing: DataFrame, keys: list[str], keep_existing: bool,
-                      deletes: str = "by_time", source_fields: list[str] | None = None) -> DataFrame:
-    """Newest statements of a change log over an existing snapshot, deletes applied."""
+                      deletes: str = "by_time", source_fields: list[str] | None = None,
+                      order: list[str] | None = None, delete_keys: list[str] | None = None) -> DataFrame:
+    """Newest statements of a change log over an existing snapshot, deletes applied.
+
+    ``order`` lists what decides between events of one key: source fields and columns that come with
+    the envelopes, such as the offset; by default the source fields, then the offset if there is one.
+    With ``delete_keys``, part of the keys, every delete in the log takes away all rows that agree with
+    it on those, old and new (the log is then parsed once into the shared folder).
+    """
     sources = source_fields or ["ts_ms"]
+    by = order or [*sources, *[c for c in ("offset",) if c in envelopes.columns]]
     flat = flatten_changes(envelopes, statement_schema(keys), keys, sources)
-    resolved = resolve_changes(flat, keys, MEASURES, sources, deletes)
+    if delete_keys:
+        flat = materialise(flat, "flat-log")
+        latest = latest_per_key(upserts(flat, keys), keys, by)
+        merged = merge_snapshot(existing, latest, keys, MEASURES, keep_existing)
+        return apply_deletes(merged, deleted_keys(flat, keys), delete_keys, salts=8)
+    resolved = resolve_changes(flat, keys, MEASURES, by, deletes)
     return merge_changes(existing, resolved, keys, MEASURES, keep_existing)
 
 
@@ -36,16 +50,13 @@ def statement_merge(envelopes: DataFrame, existing: DataFrame, **settings) -> Da
         .select("date", *MEASURES, "company_name")
 
 
-def statement_summary(envelopes: DataFrame, existing: DataFrame, decimals: int | None = None,
-                      **settings) -> DataFrame:
+def statement_summary(envelopes: DataFrame, existing: DataFrame, **settings) -> DataFrame:
     """Statements of one company with a closing row of means; incomplete rows left out.
 
-    The means cover rows that are incomplete elsewhere too: they are taken before the filter. The
-    merged rows are written once, since both the detail and the means read them.
+    The means cover rows that are incomplete elsewhere too: they are taken before the filter.
     """
     merged = merged_statements(envelopes, existing, ["date"], keep_existing=False, **settings)
-    detail = materialise(exclude_prefix(merged, "date", TRAILING_LABEL), "merged-statements")
-    summed = append_summary(detail, "date", MEASURES, decimals)
+    summed = append_summary(exclude_prefix(merged, "date", TRAILING_LABEL), "date", MEASURES)
     return summary_last(complete_rows(summed, ["date", *MEASURES]), period_start(F.col("date")))
 
 
@@ -69,30 +80,36 @@ def with_kpis(merged: DataFrame, order: str = "time", split_companies: bool = Fa
     return exclude_prefix(grown, "date", TRAILING_LABEL).orderBy("company_name", "date")
 
 
-def statement_kpis(envelopes: DataFrame, existing: DataFrame, order: str = "time",
+def statement_kpis(envelopes: DataFrame, existing: DataFrame, growth_order: str = "time",
                    split_companies: bool = False, **settings) -> DataFrame:
-    """All statements of many companies, old and changed, with ratios and growth."""
+    """All statements of many companies, old and changed, with ratios and growth.
+
+    ``growth_order="label", delete_keys=["date"]`` gives growth in label order, with a delete taking its
+    period away from every company.
+    """
     merged = merged_statements(envelopes, existing, MULTI_KEYS, keep_existing=True, **settings)
-    return with_kpis(merged, order, split_companies)
+    return with_kpis(merged, growth_order, split_companies)
 
 
-def load_statements(pages: DataFrame, section_id: str, labels: list[str] | None = None,
-                    company: str = "company_name") -> DataFrame:
-    """Statement tables of all pages as one table: a row per company and period.
+def statement_cells(pages: DataFrame, section_id: str, company: str = "company_name") -> DataFrame:
+    """All cells of the statement tables, long: company, date, col_no, row_no, label, value.
 
-    Without ``labels`` the columns are the line items found on the pages. The parsed cells are then
-    written once, so that the pages are not parsed a second time.
+    Needs no list of line items, however many the pages have.
     """
-    cells = clean_cells(table_cells(page_tables(pages, [company], section_id), [company]))
-    if labels is None:
-        cells = materialise(cells, "statement-cells")
-    names = labels if labels is not None else line_items(cells)
-    return pivot_cells(cells, [company], names).fillna(0, subset=names)
+    cells = clean_cells(table_cells(page_tables(pages, [company], section_id), [company]), [company])
+    return cells.select(company, F.col("period").alias("date"), "col_no", "row_no", "label", "value")
+
+
+def load_statements(pages: DataFrame, section_id: str, labels: list[str],
+                    company: str = "company_name") -> DataFrame:
+    """Statement tables of all pages as one table: a row per company and period, a column per wanted label."""
+    cells = statement_cells(pages, section_id, company).withColumnRenamed("date", "period")
+    return pivot_cells(cells, [company], labels).fillna(0, subset=labels)
 
 
-def load_bars(bars: DataFrame, start_year: int, end_year: int, names: DataFrame | None = None,
-              **settings) -> DataFrame:
-    """Fiscal-year bars of all companies.
+def load_bars(bars: DataFrame, start_year: int | None = None, end_year: int | None = None,
+              names: DataFrame | None = None, **settings) -> DataFrame:
+    """Fiscal-year bars of all companies, of all years unless a range is given.
 
     ``names`` (``symbol, company``) turns the symbols that bars come under into company names; it is
     joined to the yearly rows, not to the daily ones. Symbols without a name are left out.

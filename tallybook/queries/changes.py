@@ -10,6 +10,7 @@ from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_p
 from tallybook.operators.merge import apply_deletes, exclude_prefix, merge_snapshot, upsert
 from tallybook.queries.inputs import (CUT_MS, EVENT_KEYS, EVENT_ROW, EVENTS_SQL, SOURCE_FIELDS,
                                       event_envelopes, events_with_time, table)
+from tallybook.session import materialise
 
 PAYLOAD = ["event_type", "value"]
 
@@ -47,8 +48,9 @@ def cdc_resolve_sticky(spark, sf_dir):
 def _snapshot_and_changes(spark, sf_dir, keys):
     """The older events as a table with one row per key, the newer ones out of their envelopes."""
     older = events_with_time(spark, sf_dir).filter((F.col("ts_ms") < CUT_MS) & (F.col("event_type") != "error"))
-    known = older.withColumn("value", F.when(F.col("value") <= 100, F.col("value")))
-    newer = event_envelopes(spark, sf_dir).filter(F.col("ts_ms") >= CUT_MS).select("value")
+    small = F.col("value") <= 100  # larger values are unknown: a null does not replace what was there
+    known = older.withColumn("value", F.when(small, F.col("value")))
+    newer = event_envelopes(spark, sf_dir, small).filter(F.col("ts_ms") >= CUT_MS).select("value")
     changes = flatten_changes(newer, EVENT_ROW, EVENT_KEYS, SOURCE_FIELDS)
     return [latest_per_key(part, keys, SOURCE_FIELDS) for part in (known, upserts(changes, EVENT_KEYS))]
 
@@ -69,18 +71,17 @@ def merge_keep_existing(spark, sf_dir):
 
 
 def apply_deletes_composite(spark, sf_dir):
-    flat = flat_events(spark, sf_dir)
+    flat = materialise(flat_events(spark, sf_dir), "flat-events")  # parsed once, read by both sides
     latest = latest_per_key(upserts(flat, EVENT_KEYS), EVENT_KEYS, SOURCE_FIELDS)
     return apply_deletes(latest, deleted_keys(flat, EVENT_KEYS), EVENT_KEYS)
 
 
 def apply_deletes_global(spark, sf_dir):
-    """Deletes on part of the key: an error above 150 deletes all rows of its user."""
-    flat = flat_events(spark, sf_dir)
-    latest = latest_per_key(upserts(flat, EVENT_KEYS), EVENT_KEYS, SOURCE_FIELDS)
-    events = table(spark, sf_dir, "events")
-    gone = events.filter((F.col("event_type") == "error") & (F.col("value") > 150)).select("user_id")
-    return apply_deletes(latest, gone, ["user_id"], salts=8)
+    """Deletes on part of the key: a delete in the log takes away all orders of its user."""
+    keys_only = T.StructType([EVENT_ROW[k] for k in EVENT_KEYS])
+    gone = deleted_keys(flat_events(spark, sf_dir, keys_only), EVENT_KEYS)
+    return apply_deletes(table(spark, sf_dir, "orders"), gone.withColumnRenamed("user_id", "o_custkey"),
+                         ["o_custkey"], salts=8)
 
 
 def prefix_filter(spark, sf_dir):
@@ -121,7 +122,7 @@ def _latest(source: str, keys: str, where: str = "NOT gone") -> str:
 def _merge(keys: str, kind: str) -> str:
     on = " AND ".join(f"n.{k} = o.{k}" for k in keys.split(", "))
     out = ", ".join(f"coalesce(n.{k}, o.{k}) AS {k}" for k in keys.split(", "))
-    return f"""WITH {EVENTS_SQL},
+    return f"""WITH {EVENTS_SQL.replace("value,", "CASE WHEN value <= 100 THEN value END AS value,")},
 o AS ({_latest('ev', keys, f'NOT gone AND ts_ms < {CUT_MS}')}),
 n AS ({_latest('ev', keys, f'NOT gone AND ts_ms >= {CUT_MS}')})
 SELECT {out}, coalesce(n.event_type, o.event_type) AS event_type, coalesce(n.value, o.value) AS value
@@ -148,9 +149,8 @@ FROM g LEFT JOIN l ON g.user_id = l.user_id AND g.k = l.k""",
     "apply_deletes": f"""WITH {EVENTS_SQL}, l AS ({_latest('ev', 'user_id, k')})
 SELECT user_id, k, event_type, value, ts_ms, lsn FROM l
 WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.gone AND ev.user_id = l.user_id AND ev.k = l.k)""",
-    "apply_deletes_global": f"""WITH {EVENTS_SQL}, l AS ({_latest('ev', 'user_id, k')})
-SELECT user_id, k, event_type, value, ts_ms, lsn FROM l
-WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 150)""",
+    "apply_deletes_global": """
+SELECT * FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')""",
     "exclude_prefix": "SELECT * FROM part WHERE NOT starts_with(p_type, 'PROMO')",
     "upsert_snapshot": """
 SELECT c_custkey, c_name, c_nationkey,

@@ -51,10 +51,10 @@ def as_envelopes(rows: DataFrame, keys: list[str], image: list[Column], gone: Co
     return rows.select(*SOURCE_FIELDS, F.to_json(F.struct(payload.alias("payload"))).alias("value"))
 
 
-def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as an envelope keyed by user and ``k``; values above 100 are unknown (null)."""
-    image = [F.col("user_id"), F.col("k"), F.col("event_type"),
-             F.when(F.col("value") <= 100, F.col("value")).alias("value")]
+def event_envelopes(spark: SparkSession, sf_dir: str, known: Column | None = None) -> DataFrame:
+    """Every event as an envelope keyed by user and ``k``; where ``known`` fails the value is null."""
+    value = F.col("value") if known is None else F.when(known, F.col("value")).alias("value")
+    image = [F.col("user_id"), F.col("k"), F.col("event_type"), value]
     kind = F.col("event_type")
     return as_envelopes(events_with_time(spark, sf_dir), EVENT_KEYS, image, kind == "error", kind != "signup")
 
@@ -62,8 +62,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENTS_SQL = """
 ev AS (SELECT event_id AS lsn, epoch_us(ts) // 1000 AS ts_ms, user_id,
               CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type,
-              CASE WHEN value <= 100 THEN value END AS value, value AS raw_value,
-              event_type = 'error' AS gone
+              value, event_type = 'error' AS gone
        FROM events)"""
 
 
@@ -96,9 +95,9 @@ def statement_envelopes(spark: SparkSession, sf_dir: str, keys: list[str]) -> Da
     return as_envelopes(rows, keys, image, kind == "error", kind != "signup")
 
 
-def line_statements(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
-    """Line items summed to one statement per shipping month (and supplier)."""
-    by = {"date": F.trunc("l_shipdate", "month"), "company_name": F.col("l_suppkey")}
+def line_statements(spark: SparkSession, sf_dir: str, keys: list[str], months_later: int = 0) -> DataFrame:
+    """Line items summed to one statement per shipping month (and supplier), dated so many months later."""
+    by = {"date": F.add_months(F.trunc("l_shipdate", "month"), months_later), "company_name": F.col("l_suppkey")}
     names = {"date": period_label(F.col("date")), "company_name": company_label(F.col("company_name"))}
     lines = table(spark, sf_dir, "lineitem").select(
         *[by[k].alias(k) for k in keys], hundredths("l_extendedprice").alias("price"),
@@ -134,9 +133,8 @@ def sql_ratio(numerator: str, denominator: str, factor: str = "") -> str:
 
 def change_rows_sql(keys: list[str]) -> str:
     """CTE ``ch``: the events as statement changes, measures null where the event does not know them."""
-    measures = ", ".join(
-        f"CASE WHEN NOT gone{'' if m == 'sales' else chr(32) + 'AND event_type <> ' + repr('signup')}"
-        f" THEN raw_value * {factor} END AS {m}" for m, factor in CHANGE_FACTORS.items())
+    known = {m: "NOT gone" if m == "sales" else "NOT gone AND event_type <> 'signup'" for m in CHANGE_FACTORS}
+    measures = ", ".join(f"CASE WHEN {known[m]} THEN value * {factor} END AS {m}" for m, factor in CHANGE_FACTORS.items())
     return f"""{EVENTS_SQL},
 ch AS (SELECT lsn, ts_ms, gone, event_type,
               CASE WHEN k = 99 THEN 'TTM'
@@ -144,11 +142,12 @@ ch AS (SELECT lsn, ts_ms, gone, event_type,
               'company-' || user_id AS company_name, {measures} FROM ev)"""
 
 
-def line_statements_sql(keys: list[str]) -> str:
+def line_statements_sql(keys: list[str], months_later: int = 0) -> str:
     """CTE ``ex``: line items summed to statements."""
     d = "CAST(l_{} AS DECIMAL(18,2))".format
     price, cut, tax, qty = d("extendedprice"), d("discount"), d("tax"), d("quantity")
-    names = {"date": "strftime(l_shipdate, '%b %Y')", "company_name": "'company-' || l_suppkey"}
+    month = f"date_trunc('month', l_shipdate) + to_months({months_later})"
+    names = {"date": f"strftime({month}, '%b %Y')", "company_name": "'company-' || l_suppkey"}
     columns = ", ".join(f"{names[k]} AS {k}" for k in keys)
     measures = {
         "sales": f"sum({price})", "expenses": f"sum({price} * {cut})",

@@ -23,7 +23,7 @@ def _customer_orders(spark, sf_dir):
 
 
 def summary_average_row(spark, sf_dir):
-    summed = append_summary(_customer_orders(spark, sf_dir), "date", ORDER_MEASURES, decimals=2)
+    summed = append_summary(_customer_orders(spark, sf_dir), "date", ORDER_MEASURES)
     return summary_last(complete_rows(summed, ["date", *ORDER_MEASURES]), F.col("date"))
 
 
@@ -106,8 +106,7 @@ def _growth(measure: str, name: str, by: str, order: str) -> str:
 
 
 def _average(measure: str) -> str:
-    exact = f"CAST(sum(CAST({measure} AS DECIMAL(28,2))) AS DOUBLE) / NULLIF(count({measure}), 0)"
-    return f"{sql_round(exact)} AS {measure}"
+    return f"{sql_round(f'avg({measure})')} AS {measure}"
 
 
 ORACLE = {

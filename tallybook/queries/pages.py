@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallybook.operators.statements import transpose, union_statements
-from tallybook.plans.jobs import load_statements
+from tallybook.plans.jobs import load_statements, statement_cells
 from tallybook.queries.inputs import hundredths, table
 from tallybook.sources.pages import page_items, page_tables, table_cells, wide_rows
 
+#: The fiscal years and calendar years of the line items and orders.
 YEARS = list(range(1995, 2003))
+LABELS = {"profit-loss": ["sales", "sales_2", "units", "lines_percent", "tax_&_other", "unnamed", "unnamed_2"],
+          "balance-sheet": ["total_assets", "debt_₹"]}
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -17,10 +20,10 @@ def html_list_items(spark, sf_dir):
     return page_items(table(spark, sf_dir, "pages"), ["page_id"])
 
 
-def _row(label: str, years, cell) -> list:
+def _row(label: str, years, cell, more: str = "") -> list:
     return [F.lit(f'<tr class="row"><td class="text">{label}</td>'),
             F.array_join(F.transform(years, lambda y: F.concat(F.lit("<td> "), cell(y), F.lit("</td>"))), ""),
-            F.lit("</tr>")]
+            F.lit(f"{more}</tr>")]
 
 
 def statement_pages(spark, sf_dir):
@@ -33,23 +36,30 @@ def statement_pages(spark, sf_dir):
     suppliers = sums.groupBy("l_suppkey").agg(
         F.sort_array(F.collect_list(F.struct("year", "sales", "units", "lines"))).alias("years"))
     years = F.col("years")
-    head = [F.lit("<thead><tr><th></th>"),
-            F.array_join(F.transform(years, lambda y: F.concat(
-                F.lit("<th data-x='1'>\n Mar "), y["year"].cast("string"), F.lit("</th>"))), ""),
-            F.lit("</tr></thead><tbody>")]
+    titles = F.array_join(F.transform(years, lambda y: F.concat(
+        F.lit("<th data-x='1'>\n Mar "), y["year"].cast("string"), F.lit("</th>"))), "")
+
+    def head(*more):
+        return [F.lit("<thead><tr><th></th>"), titles, *map(F.lit, more), F.lit("</tr></thead><tbody>")]
+
     money_text = lambda c: lambda y: F.format_number(y[c], 2)
-    profit = [*_row('<button>Sales&nbsp;<span>+</span></button>', years, money_text("sales")),
-              *_row("Units", years, money_text("units")),
-              *_row("Lines %", years, lambda y: F.concat(y["lines"].cast("string"), F.lit("%"))),
-              *_row("Tax &amp; Other", years, lambda y: F.lit("")),
-              F.lit("<tr><td>short</td></tr>")]
+    again = "<td>7</td>"  # the column under the header that stands there twice
+    profit = [
+        *_row('<button>Sales<span>&plus;</span></button>', years, money_text("sales"), again),
+        *_row("Units", years, money_text("units"), again),
+        *_row("Lines %", years, lambda y: F.concat(y["lines"].cast("string"), F.lit("%")), again),
+        *_row("Tax &amp Other", years, lambda y: F.lit(""), again),
+        *_row("Sales", years, lambda y: F.lit("&#0000000000049;&eacute;"), again),
+        *_row("", years, lambda y: F.lit("2"), again), *_row(" ", years, lambda y: F.lit("3"), again),
+        F.lit("<tr><td>short</td></tr>")]
     balance = [*_row("Total Assets", years, money_text("units")),
                *_row("Debt &#8377;", years, lambda y: F.concat(F.lit("-"), y["lines"].cast("string")))]
     html = F.concat(
         F.lit('<!DOCTYPE html><html><body><script>var t="<section id=\'profit-loss\'>";</script>'),
-        F.lit('<section class="card" id="balance-sheet"><table>'), *head, *balance,
+        F.lit('<section class="card" id="balance-sheet"><table>'), *head(), *balance,
         F.lit('</tbody></table></section><section id="profit-loss" class="card"><h2>P</h2><!-- <table> -->'),
-        F.lit('<div><TABLE class="data">'), *head, *profit,
+        F.lit('<section class="note"><section>inner</section><p>note</p></section><div><TABLE class="data">'),
+        *head("<th>Mar 2001</th>"), *profit,
         F.lit("</tbody></TABLE></div><table><tr><td>second</td></tr></table></section></body></html>"))
     return suppliers.select(F.concat(F.lit("company-"), F.col("l_suppkey").cast("string")).alias("company_name"),
                             html.alias("html"))
@@ -66,11 +76,16 @@ def html_wide_rows(spark, sf_dir):
 
 
 def html_statement_load(spark, sf_dir):
-    return load_statements(statement_pages(spark, sf_dir), "profit-loss")
+    return load_statements(statement_pages(spark, sf_dir), "profit-loss", LABELS["profit-loss"])
+
+
+def html_statement_cells(spark, sf_dir):
+    """The same table in long form, which takes no list of line items."""
+    return statement_cells(statement_pages(spark, sf_dir), "profit-loss")
 
 
 def html_balance_sheet_load(spark, sf_dir):
-    return load_statements(statement_pages(spark, sf_dir), "balance-sheet")
+    return load_statements(statement_pages(spark, sf_dir), "balance-sheet", LABELS["balance-sheet"])
 
 
 def transpose_statement(spark, sf_dir):
@@ -95,7 +110,7 @@ def union_schema_drift(spark, sf_dir):
     return union_statements([customers, suppliers])
 
 
-QUERIES = {f.__name__: f for f in (html_list_items, html_table_rows, html_wide_rows, html_statement_load,
+QUERIES = {f.__name__: f for f in (html_list_items, html_table_rows, html_wide_rows, html_statement_load, html_statement_cells,
                                    html_balance_sheet_load, transpose_statement, union_schema_drift)}
 
 _SUMS = """s AS (
@@ -104,6 +119,20 @@ SELECT l_suppkey, year(l_shipdate) + CASE WHEN month(l_shipdate) >= 4 THEN 1 ELS
        count(*) AS lines
 FROM lineitem GROUP BY 1, 2)"""
 _TEXT = "format('{{:,.2f}}', CAST({} AS DOUBLE))".format
+#: The cells of the first table as texts, and with column names and numbers.
+_CELLS = f"""shown AS (
+SELECT 'company-' || l_suppkey AS company_name, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY year) AS INTEGER) AS col_no,
+       'Mar ' || year AS period, {_TEXT('sales')} AS v1, {_TEXT('units')} AS v2, lines || '%' AS v3, '' AS v4, '1é' AS v5,
+       '2' AS v6, '3' AS v7 FROM s
+UNION ALL
+SELECT 'company-' || l_suppkey, CAST(count(*) + 1 AS INTEGER), 'Mar 2001', '7', '7', '7', '7', '7', '7', '7'
+FROM s GROUP BY l_suppkey),
+cells AS (SELECT company_name, CAST(row_no AS INTEGER) AS row_no, col_no, label, period,
+       CASE row_no WHEN 1 THEN v1 WHEN 2 THEN v2 WHEN 3 THEN v3 WHEN 4 THEN v4 WHEN 5 THEN v5 WHEN 6 THEN v6 ELSE v7 END AS value
+FROM shown, (VALUES (1, 'Sales+'), (2, 'Units'), (3, 'Lines %'), (4, 'Tax & Other'), (5, 'Sales'), (6, ''), (7, '')) r(row_no, label)),
+named AS (SELECT company_name, row_no, col_no, period, TRY_CAST(replace(replace(value, ',', ''), '%', '') AS DOUBLE) AS number,
+       CASE row_no WHEN 1 THEN 'sales' WHEN 2 THEN 'units' WHEN 3 THEN 'lines_percent' WHEN 4 THEN 'tax_&_other'
+                   WHEN 5 THEN 'sales_2' WHEN 6 THEN 'unnamed' ELSE 'unnamed_2' END AS name FROM cells)"""
 _LABELS = [p.lower().replace(" ", "_") + "_orders_percent" for p in PRIORITIES]
 _PRIORITY_SUMS = ",\n".join(
     f"""coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderpriority = '{p}') AS DOUBLE), 0)
@@ -126,20 +155,18 @@ SELECT page_id, CAST(position AS INTEGER) AS position,
        trim(replace(replace(replace(replace(replace(regexp_replace(item, '<[^>]*>', '', 'g'),
             '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS item
 FROM i""",
-    "html_table_rows": f"""WITH {_SUMS}
-SELECT 'company-' || l_suppkey AS company_name, CAST(row_no AS INTEGER) AS row_no, label, 'Mar ' || year AS period,
-       CASE row_no WHEN 1 THEN {_TEXT('sales')} WHEN 2 THEN {_TEXT('units')} WHEN 3 THEN lines || '%' ELSE '' END
-       AS value
-FROM s, (VALUES (1, 'Sales' || chr(160) || '+'), (2, 'Units'), (3, 'Lines %'), (4, 'Tax & Other')) r(row_no, label)""",
+    "html_table_rows": f"""WITH {_SUMS}, {_CELLS}
+SELECT company_name, row_no, col_no, label, period, value FROM cells""",
     "html_wide_rows": f"""WITH {_SUMS}
 SELECT 'company-' || l_suppkey AS company_name, 1 AS row_no, 'Total Assets' AS "Narration",
        {_wide_cells(_TEXT('units'))} FROM s GROUP BY l_suppkey
 UNION ALL
 SELECT 'company-' || l_suppkey, 2, 'Debt ' || chr(8377), {_wide_cells("'-' || lines")} FROM s GROUP BY l_suppkey""",
-    "html_statement_load": f"""WITH {_SUMS}
-SELECT 'Mar ' || year AS date, CAST(sales AS DOUBLE) AS sales, CAST(units AS DOUBLE) AS units,
-       CAST(lines AS DOUBLE) AS lines_percent, CAST(0 AS DOUBLE) AS "tax_&_other",
-       'company-' || l_suppkey AS company_name FROM s""",
+    "html_statement_load": f"""WITH {_SUMS}, {_CELLS}
+SELECT period AS date, {', '.join(f"""coalesce(max(number) FILTER (name = '{x}'), 0) AS "{x}" """ for x in LABELS["profit-loss"])},
+       company_name FROM named GROUP BY company_name, col_no, period""",
+    "html_statement_cells": f"""WITH {_SUMS}, {_CELLS}
+SELECT company_name, period AS date, col_no, row_no, name AS label, number AS value FROM named""",
     "html_balance_sheet_load": f"""WITH {_SUMS}
 SELECT 'Mar ' || year AS date, CAST(units AS DOUBLE) AS total_assets, CAST(-lines AS DOUBLE) AS "debt_₹",
        'company-' || l_suppkey AS company_name FROM s""",

@@ -12,8 +12,6 @@ from tallybook.session import scratch_dir
 from tallybook.sinks.files import preview, read_csv, write_csv
 from tallybook.sinks.tables import append_table, create_table, replace_table
 
-MAX_SINGLE_FILE_ROWS = 100_000
-
 
 def sink_csv_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
@@ -29,10 +27,10 @@ def sink_csv_single_file(spark, sf_dir):
         F.count(F.lit(1)).cast("double").alias("customers"))
     named = sums.select(F.concat_ws(" ", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("date"),
                         "balance", "customers")
-    summed = append_summary(named, "date", ["balance", "customers"], decimals=2)
+    summed = append_summary(named, "date", ["balance", "customers"])
     report = summary_last(complete_rows(summed, ["date", "balance", "customers"]), F.col("date"))
     path = scratch_dir(spark, "report-csv")
-    write_csv(report, path, single_file_rows=MAX_SINGLE_FILE_ROWS)
+    write_csv(report, path, files=1, ordered=True)
     return read_csv(spark, path, report.schema)
 
 
@@ -56,7 +54,6 @@ def head_rows(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (sink_csv_roundtrip, sink_csv_single_file, sink_table_replace, head_rows)}
 
-_SUM = "CAST(sum(CAST({} AS DECIMAL(28,2))) AS DOUBLE) / count({})".format
 ORACLE = {
     "sink_csv_roundtrip": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
     "sink_csv_single_file": f"""WITH d AS (
@@ -65,7 +62,7 @@ SELECT c_nationkey || ' ' || c_mktsegment AS date,
 FROM customer GROUP BY c_nationkey, c_mktsegment)
 SELECT * FROM d
 UNION ALL
-SELECT 'Average', {sql_round(_SUM('balance', 'balance'))}, {sql_round(_SUM('customers', 'customers'))} FROM d""",
+SELECT 'Average', {sql_round('avg(balance)')}, {sql_round('avg(customers)')} FROM d""",
     "sink_table_replace": "SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance FROM customer",
     "head_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,22 +17,33 @@ BASE_CONF = {
 }
 
 PARTITION_BYTES = 128 * 1024 * 1024
-_local_scratch: dict[str, str] = {}
+MOST_PARTITIONS = 32_768
+STATE_PARTITIONS = 512
 
 
 def shuffle_partitions(data_bytes: int, minimum: int = 8) -> int:
-    """Partition count that keeps a shuffle of ``data_bytes`` near 128 MB per task."""
-    return max(minimum, -(-data_bytes // PARTITION_BYTES))
+    """Partition count for shuffles of ``data_bytes``: 128 MB a task up to 4 TB, then larger ones, which spill.
+
+    Every map task writes a block for every partition, so their number cannot follow the data for ever; AQE
+    merges small partitions and splits those of skewed joins.
+    """
+    return min(max(minimum, -(-data_bytes // PARTITION_BYTES)), MOST_PARTITIONS)
 
 
 def build_session(app_name: str, data_bytes: int | None = None, master: str | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
-    """Session with the settings above; ``data_bytes`` sizes the shuffles (AQE merges small ones)."""
+                  conf: dict[str, str] | None = None, streaming: bool = False) -> SparkSession:
+    """Session with the settings above; ``data_bytes`` sizes the shuffles.
+
+    A stream keeps a store per shuffle partition and operator for its whole life, so ``streaming``
+    fixes their number, whatever the amount of data.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(BASE_CONF)
-    if data_bytes is not None:
+    if streaming:
+        settings["spark.sql.shuffle.partitions"] = str(STATE_PARTITIONS)
+    elif data_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(data_bytes))
     settings.update(conf or {})
     for key, value in settings.items():
@@ -42,19 +52,57 @@ def build_session(app_name: str, data_bytes: int | None = None, master: str | No
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A temporary folder stands in only for a local master, where driver and tasks share one disk.
-    """
+    """This application's folder below ``spark.checkpoint.dir``, or below the warehouse where that is not set."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="tallybook-")
-    return _local_scratch[context.applicationId]
+    base = shared.rstrip("/") if shared else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{base}/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's folder; call it when the results that read from it are written."""
+    remove(spark, scratch_root(spark))
+
+
+def _file(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _file(spark, path)
+    files.delete(place, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one step, in place of an older one: written beside it, then renamed."""
+    files, place = _file(spark, path)
+    _, beside = _file(spark, f"{path}.{uuid.uuid4().hex}.new")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(beside, place):  # some file systems do not rename onto a file
+        files.delete(place, False)
+        files.rename(beside, place)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, or None if there is none."""
+    files, place = _file(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    data = bytes(stream.readAllBytes())
+    stream.close()
+    return data.decode()
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """The files in a folder, without those still being written."""
+    files, place = _file(spark, folder)
+    if not files.exists(place):
+        return []
+    names = [f"{folder}/{s.getPath().getName()}" for s in files.listStatus(place)]
+    return sorted(n for n in names if not n.endswith(".new") and "/." not in n)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -66,7 +114,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For results that are used more than once: the sources are read and parsed a single time, all
-    uses see the same rows, and a lost executor costs a re-read, not a re-computation.
+    uses see the same rows, and a lost executor costs a re-read, not a re-computation. The copy goes with
+    ``clear_scratch``.
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)

@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def write_csv(df: DataFrame, path: str, single_file_rows: int = 0) -> bool:
-    """Write CSV with a header, replacing what is there; true if it went to one file.
+def write_csv(df: DataFrame, path: str, files: int | None = None, ordered: bool = False) -> None:
+    """Write CSV with a header, replacing what is there.
 
-    Results of up to ``single_file_rows`` rows go to one file. Larger ones are written in parallel,
-    one file per partition, so that no task has to take the whole result.
+    By default one file per partition. ``files`` fixes their number, whatever the data: ``ordered``
+    frames (after an ``orderBy``) are narrowed in the sort stage, which keeps the order; others are
+    dealt out anew, so that the stage before keeps its parallelism.
     """
-    single = single_file_rows > 0 and df.limit(single_file_rows + 1).count() <= single_file_rows
-    out = df.coalesce(1) if single else df
+    out = df if files is None else df.coalesce(files) if ordered else df.repartition(files)
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-    return single
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -7,14 +7,28 @@ database. Rows never pass through the driver, and a repeated run gives the same
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Column types of the target database.
-SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE PRECISION", "bigint": "BIGINT", "int": "INTEGER",
-             "date": "DATE", "boolean": "BOOLEAN"}
+SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE PRECISION", "float": "REAL", "bigint": "BIGINT", "int": "INTEGER",
+             "smallint": "SMALLINT", "tinyint": "SMALLINT", "date": "DATE", "boolean": "BOOLEAN", "binary": "BYTEA",
+             "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def sql_type(dtype: T.DataType) -> str:
+    name = dtype.simpleString()
+    if isinstance(dtype, T.DecimalType):
+        return f"NUMERIC({dtype.precision}, {dtype.scale})"
+    if re.match("(var)?char", name):
+        return name.upper()
+    if name not in SQL_TYPES:
+        raise TypeError(f"no column type for {name}; cast it first")
+    return SQL_TYPES[name]
 
 
 def _quoted(names: list[str]) -> str:
@@ -22,7 +36,7 @@ def _quoted(names: list[str]) -> str:
 
 
 def create_statement(table: str, schema: T.StructType, keys: list[str] | None = None) -> str:
-    columns = [f'"{f.name}" {SQL_TYPES[f.dataType.simpleString()]}' for f in schema.fields]
+    columns = [f'"{f.name}" {sql_type(f.dataType)}' for f in schema.fields]
     if keys:
         columns.append(f"PRIMARY KEY ({_quoted(keys)})")
     return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"
@@ -49,16 +63,24 @@ def run_statements(connect: Callable, *statements: str) -> None:
 
 
 def replace_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
-                 connections: int = 16) -> None:
-    """Write ``df`` as the table's new content over at most ``connections`` connections."""
-    df.write.mode("overwrite").option("numPartitions", connections).jdbc(url, table, properties=properties or {})
+                 connections: int | None = None) -> None:
+    """Write ``df`` as the table's new content.
+
+    ``connections`` bounds the load on the database. Rows are then dealt out anew before the write, so
+    that the steps before it keep their own parallelism.
+    """
+    out = df if connections is None else df.repartition(connections)
+    out.write.mode("overwrite").jdbc(url, table, properties=properties or {})
 
 
 def upsert_jdbc(df: DataFrame, url: str, table: str, keys: list[str], connect: Callable,
                 staging: str | None = None, properties: dict[str, str] | None = None,
-                connections: int = 16) -> None:
-    """Upsert ``df`` (one row per key) into ``table``."""
-    stage = staging or f"{table}_staging"
-    replace_jdbc(df, url, stage, properties, connections)
-    run_statements(connect, create_statement(table, df.schema, keys),
-                   upsert_statement(table, stage, keys, df.columns))
+                connections: int | None = None) -> None:
+    """Upsert ``df`` (one row per key) into ``table`` by way of a staging table of this run, which is dropped."""
+    stage = staging or f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    try:
+        replace_jdbc(df, url, stage, properties, connections)
+        run_statements(connect, create_statement(table, df.schema, keys),
+                       upsert_statement(table, stage, keys, df.columns))
+    finally:
+        run_statements(connect, f"DROP TABLE IF EXISTS {stage}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -14,11 +16,18 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, location
 
 
 def replace_table(df: DataFrame, table: str, location: str | None = None) -> None:
-    """Replace the table's rows and schema. ``df`` must not read the table it replaces."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table)
+    """Replace the table's rows and schema: written as a new version, to which the table's name is then switched.
+
+    Readers see the old rows until the switch. With ``location`` the versions are folders below it;
+    older ones stay until they are removed (``session.remove``), so that running reads can end.
+    """
+    spark = df.sparkSession
+    version = f"v_{uuid.uuid4().hex}"
+    place = f"{(location or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{'' if location else table + '_'}{version}"
+    df.write.parquet(place)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{place}'")
 
 
 def append_table(df: DataFrame, table: str) -> None:

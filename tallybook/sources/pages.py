@@ -21,7 +21,6 @@ ENDS = {
     "th": r"(?is)</?(?:td|th|tr|thead|tbody|tfoot|table)\b.*",
     "li": r"(?is)</(?:li|ul|ol)\b.*",
 }
-MAX_ITEMS = 2**30  # far above any array length; start plus length must stay an int
 
 
 def visible_html(html: Column) -> Column:
@@ -34,7 +33,7 @@ def _pieces(html: Column, tag: str) -> Column:
 
 
 def _after_first(array: Column) -> Column:
-    return F.slice(array, 2, MAX_ITEMS)
+    return F.slice(array, F.lit(2), F.greatest(F.size(array) - 1, F.lit(0)))
 
 
 def _all(html: Column, tag: str) -> Column:
@@ -44,12 +43,29 @@ def _all(html: Column, tag: str) -> Column:
 
 
 def _section(html: Column, section_id: str) -> Column:
+    """Inner markup of the named section: up to the closing tag that leaves as many closed as opened.
+
+    The rest of the page is cut at its section tags; each piece begins with the tag that it follows.
+    """
     opening = rf"(?is)<section\b[^<>]*?\sid\s*=\s*[\"']?\Q{section_id}\E(?=[\"'\s>])[^<>]*>"
-    return F.regexp_extract(html, opening + r"(.*?)(?:</section\s*>|\z)", 1)
+    rest = F.regexp_extract(html, opening + r"(.*)\z", 1)
+    pieces = F.split(rest, r"(?i)(?=</?section\b[^<>]*>)")
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+
+    def walk(state: Column, piece: Column) -> Column:
+        step = F.when(piece.rlike(r"(?i)^</section"), -1).when(piece.rlike(r"(?i)^<section\b"), 1).otherwise(0)
+        depth = F.when(state["depth"] > 0, state["depth"] + step).otherwise(F.lit(0))
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(state["text"], piece)).otherwise(state["text"]).alias("text"))
+
+    return F.aggregate(pieces, start, walk, lambda state: state["text"])
 
 
 def page_items(pages: DataFrame, keys: list[str], tag: str = "li", html: str = "html") -> DataFrame:
-    """Text of every ``tag`` element with its position (from 1) on the page."""
+    """Text of every ``tag`` element with its position (from 1) on the page.
+
+    An element's text ends where one of its kind begins or where it is closed. What follows a list
+    nested in an item is not taken into it.
+    """
     found = pages.select(*keys, F.posexplode(_all(visible_html(F.col(html)), tag)).alias("at", "item"))
     return found.select(*keys, (F.col("at") + 1).alias("position"), markup_text(F.col("item")).alias("item"))
 
@@ -75,19 +91,28 @@ def page_tables(pages: DataFrame, keys: list[str], section_id: str, html: str =
 
 
 def wide_rows(tables: DataFrame, keys: list[str], headers: list[str]) -> DataFrame:
-    """One string column per header, as the page shows the table (no transposing, no cleaning)."""
-    def cell(header: str) -> Column:
-        at = F.array_position("headers", F.lit(header))
-        return F.when(at > 0, F.try_element_at("cells", at.cast("int"))).alias(header)
+    """One string column per header, as the page shows the table (no transposing, no cleaning).
+
+    ``headers`` may hold a name more than once: its n-th place takes the n-th column of that name,
+    and the output column is called ``<name>_<n>`` from the second on.
+    """
+    def cell(at: int, header: str) -> Column:
+        nth = headers[:at].count(header)
+        places = F.filter(F.sequence(F.lit(1), F.size("headers")), lambda i: F.element_at("headers", i) == header)
+        place = F.try_element_at(F.when(F.size("headers") > 0, places), F.lit(nth + 1))
+        return F.when(place > 0, F.try_element_at("cells", place)).alias(f"{header}_{nth + 1}" if nth else header)
 
-    return tables.select(*keys, "row_no", F.col("cells")[0].alias("Narration"), *[cell(h) for h in headers])
+    return tables.select(*keys, "row_no", F.col("cells")[0].alias("Narration"), *[cell(i, h) for i, h in enumerate(headers)])
 
 
 def table_cells(tables: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per cell: ``keys, row_no, label, period, value``; the shape a transpose starts from."""
+    """One row per cell: ``keys, row_no, col_no, label, period, value``; the shape a transpose starts from.
+
+    ``col_no`` counts the columns after the labels from 1, so that columns with one header stay apart.
+    """
     width = F.greatest(F.size("headers") - 1, F.lit(0))
     pairs = F.arrays_zip(F.slice("headers", F.lit(2), width).alias("period"),
                          F.slice("cells", F.lit(2), width).alias("value"))
-    return (tables.select(*keys, "row_no", F.col("cells")[0].alias("label"), F.explode(pairs).alias("cell"))
-            .select(*keys, "row_no", "label", F.col("cell.period").alias("period"),
+    return (tables.select(*keys, "row_no", F.col("cells")[0].alias("label"), F.posexplode(pairs).alias("at", "cell"))
+            .select(*keys, "row_no", (F.col("at") + 1).alias("col_no"), "label", F.col("cell.period").alias("period"),
                     F.col("cell.value").alias("value")))

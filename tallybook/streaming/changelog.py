@@ -1,15 +1,19 @@
 """Streaming upserts.
 
 Rewriting a whole snapshot for every micro-batch would cost the size of the table each time. Here a
-batch writes only its own newest rows, into a folder named after the batch, and readers take the
-newest row of each key over all folders. A repeated batch overwrites its own folder, so a failed
-pass can be run again. The event time stays with each row and deletes stay as marked rows: an old
-event that arrives late can then neither overwrite a newer row nor bring back a deleted one.
+batch writes only its own newest rows, into a folder of its own, and readers take the newest row of
+each key over all committed folders. The event time stays with each row and deletes stay as marked
+rows: an old event that arrives late can then neither overwrite a newer row nor bring back a deleted one.
+
+A folder is named after the stream (an id that lives with the checkpoint), the batch and the attempt. A
+batch counts once its entry in ``_commits`` names the folder, so readers never see half a batch; a
+repeated batch replaces its own entry, and a stream with a new checkpoint never touches another's.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -18,10 +22,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tallybook.operators.changes import latest_per_key
+from tallybook.session import list_files, read_text, write_text
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream with this checkpoint, made at its first start."""
+    path = f"{checkpoint}-id"
+    known = read_text(spark, path)
+    if known is None:
+        known = uuid.uuid4().hex
+        write_text(spark, path, known)
+    return known
 
 
-def write_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
-    batch.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+def write_batch(batch: DataFrame, batch_id: int, log_path: str, stream: str = "batch") -> None:
+    """Write one batch and commit it, in place of an earlier attempt at the same batch."""
+    folder = f"stream={stream}/batch_id={batch_id}/attempt={uuid.uuid4().hex}"
+    batch.write.parquet(f"{log_path}/{folder}")
+    write_text(batch.sparkSession, f"{log_path}/_commits/{stream}.{batch_id}", folder)
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """All rows of the committed batches, with ``batch_id``."""
+    entries = list_files(spark, f"{log_path}/_commits")
+    folders = [f"{log_path}/{read_text(spark, entry)}" for entry in entries]
+    if not folders:
+        raise FileNotFoundError(f"no committed batch in {log_path}")
+    return spark.read.option("basePath", log_path).parquet(*folders).drop("stream", "attempt")
 
 
 def _writer(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
@@ -32,16 +59,20 @@ def _writer(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: s
 
 def upsert_batches(versions: DataFrame, keys: list[str], order: list[str], log_path: str, checkpoint: str,
                    trigger: dict | None = None,
-                   publish: Callable[[SparkSession, int], None] | None = None) -> StreamingQuery:
+                   publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Stateless form: each batch logs the newest version of the keys it holds.
 
-    ``publish`` runs after every batch, to refresh what is derived from the log. It may run again for
-    a repeated batch, so it should replace or upsert, not append.
+    ``publish(changed, batch_id)`` runs after every batch with the batch's newest rows, to refresh what
+    is derived from the log for the keys it touched. It may run again for a repeated batch, so it should
+    replace or upsert, not append.
     """
+    stream = stream_id(versions.sparkSession, checkpoint)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(latest_per_key(batch, keys, order), batch_id, log_path)
+        changed = latest_per_key(batch, keys, order)
+        write_batch(changed, batch_id, log_path, stream)
         if publish:
-            publish(batch.sparkSession, batch_id)
+            publish(changed, batch_id)
 
     return _writer(versions, sink, checkpoint, trigger).start()
 
@@ -54,10 +85,18 @@ def latest_state(versions: DataFrame, keys: list[str], order: list[str]) -> Data
 
 
 def keep_latest(versions: DataFrame, keys: list[str], order: list[str], log_path: str, checkpoint: str,
-                trigger: dict | None = None) -> StreamingQuery:
-    """Log the keys whose newest version changed in a batch; late events change nothing."""
+                trigger: dict | None = None,
+                publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """Log the keys whose newest version changed in a batch; late events change nothing.
+
+    ``publish`` as in ``upsert_batches``.
+    """
+    stream = stream_id(versions.sparkSession, checkpoint)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, log_path)
+        write_batch(batch, batch_id, log_path, stream)
+        if publish:
+            publish(batch, batch_id)
 
     return _writer(latest_state(versions, keys, order), sink, checkpoint, trigger) \
         .outputMode("update").start()
@@ -66,7 +105,7 @@ def keep_latest(versions: DataFrame, keys: list[str], order: list[str], log_path
 def read_latest(spark: SparkSession, log_path: str, keys: list[str], order: list[str],
                 with_deleted: bool = False) -> DataFrame:
     """Current rows of a change log folder."""
-    newest = latest_per_key(spark.read.parquet(log_path), keys, [*order, "batch_id"]).drop("batch_id")
+    newest = latest_per_key(read_log(spark, log_path), keys, [*order, "batch_id"]).drop("batch_id")
     return newest if with_deleted else newest.filter(~F.col("deleted")).drop("deleted")
 
 
@@ -75,16 +114,22 @@ def compact(spark: SparkSession, log_path: str, new_path: str, keys: list[str],
 
     Run it between queries, then go on writing to the new folder: its batches follow this one.
     """
-    write_batch(read_latest(spark, log_path, keys, order, with_deleted=True), -1, new_path)
+    write_batch(read_latest(spark, log_path, keys, order, with_deleted=True), -1, new_path, "compacted")
 
 
 def keep_running(start: Callable[[], StreamingQuery], restarts: int = 3, pause_seconds: float = 5.0) -> None:
-    """Wait for a query and start it again from its checkpoint after a failure."""
-    for attempt in range(restarts + 1):
+    """Wait for a query and start it again from its checkpoint after a failure.
+
+    It gives up after ``restarts`` failures in a row without a finished batch in between.
+    """
+    failures = 0
+    while True:
+        query = start()
         try:
-            start().awaitTermination()
+            query.awaitTermination()
             return
         except StreamingQueryException:
-            if attempt == restarts:
+            failures = 1 if query.recentProgress else failures + 1
+            if failures > restarts:
                 raise
             time.sleep(pause_seconds)

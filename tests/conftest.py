@@ -6,7 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from tallybook.session import build_session  # noqa: E402
+from tallybook.session import build_session, clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,4 +16,5 @@ def spark():
         "spark.driver.bindAddress": "127.0.0.1", "spark.driver.host": "127.0.0.1"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()

@@ -5,18 +5,20 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.operators.changes import flatten_changes, resolve_changes, versions
 from tallybook.plans import jobs
 from tallybook.schemas import MEASURES, kpi_schema, statement_schema
-from tallybook.session import build_session, scratch_dir, scratch_root, shuffle_partitions
+from tallybook.session import (build_session, read_text, remove, scratch_dir, scratch_root, shuffle_partitions,
+                               write_text)
 from tallybook.sinks import jdbc
 from tallybook.sinks.files import preview, read_csv, write_csv
 from tallybook.sinks.tables import append_table, create_table, replace_table
 from tallybook.sources.changes import cdc_source
-from tallybook.sources.jdbc import jdbc_options
-from tallybook.streaming.changelog import (compact, keep_latest, keep_running, read_latest, upsert_batches,
-                                           write_batch)
+from tallybook.sources.jdbc import hash_predicates, jdbc_options, read_jdbc
+from tallybook.streaming.changelog import (compact, keep_latest, keep_running, read_latest, read_log,
+                                           upsert_batches, write_batch)
 
 KEYS, ROW = ["date", "company_name"], statement_schema(["date", "company_name"])
 
@@ -55,7 +57,7 @@ def test_kpi_job(spark, log, existing):
     assert got == [("A", "Dec 2015", 30.0, 50.0, None), ("A", "Mar 2012", 10.0, None, None),
                    ("A", "Mar 2014", 20.0, 100.0, None), ("B", "Mar 2014", 1.0, None, None),
                    ("C", "Mar 2010", 7.0, None, None)]
-    by_label = jobs.statement_kpis(frame(spark, log), existing, order="label").filter("company_name = 'A'")
+    by_label = jobs.statement_kpis(frame(spark, log), existing, growth_order="label").filter("company_name = 'A'")
     assert [r.yoy_sales_growth for r in by_label.collect()] == [None, -66.67, 100.0]
 
 
@@ -91,12 +93,13 @@ def test_summary_job(spark):
 
 def test_csv(spark):
     df = spark.createDataFrame([(1, 'a "b", c'), (2, "x\ny"), (3, None)], "k int, t string").repartition(3)
-    small, large = scratch_dir(spark, "csv"), scratch_dir(spark, "csv")
-    assert write_csv(df, small, single_file_rows=3) and not write_csv(df, large, single_file_rows=2)
-    for path, files in ((small, 1), (large, 3)):
+    for frame, settings, files in ((df, {}, 3), (df, {"files": 1}, 1), (df.orderBy("k"), {"files": 1, "ordered": True}, 1)):
+        path = scratch_dir(spark, "csv")
+        write_csv(frame, path, **settings)
         back = read_csv(spark, path, df.schema)
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
-        assert (len(back.inputFiles()) == 1) == (files == 1)
+        assert len(back.inputFiles()) <= files
+    assert [r.k for r in back.collect()] == [1, 2, 3]
 
 
 def test_tables(spark):
@@ -137,7 +140,9 @@ def test_jdbc_upsert_stages_then_runs_one_transaction(spark, monkeypatch):
 
     monkeypatch.setattr(jdbc, "replace_jdbc", lambda df, url, table, *rest: calls.append(table))
     jdbc.upsert_jdbc(spark.createDataFrame([(1, 2.0)], "k bigint, v double"), "jdbc:x", "t", ["k"], Connection)
-    assert calls == ["t_staging", "CREATE", "INSERT", "commit", "close"]
+    stage, *rest = calls
+    assert stage.startswith("t_staging_") and len(stage) > 20
+    assert rest == ["CREATE", "INSERT", "commit", "close", "DROP", "commit", "close"]
 
 
 def test_jdbc_options():
@@ -145,6 +150,30 @@ def test_jdbc_options():
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("0", "100", "4")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", partition_column="k")
+    parts = hash_predicates(["date", "company_name"], 3)
+    assert len(set(parts)) == 3 and all('"date"' in p and '"company_name"' in p for p in parts)
+    with pytest.raises(ValueError):
+        read_jdbc(None, "jdbc:x", "t")
+
+
+def test_jdbc_types():
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("a", T.TimestampType()), ("b", T.DecimalType(12, 3)), ("c", T.ShortType()), ("d", T.FloatType()), ("e", T.TimestampNTZType()))])
+    assert jdbc.create_statement("t", schema) == (
+        'CREATE TABLE IF NOT EXISTS t ("a" TIMESTAMP WITH TIME ZONE, "b" NUMERIC(12, 3), "c" SMALLINT, "d" REAL, "e" TIMESTAMP)')
+    with pytest.raises(TypeError):
+        jdbc.sql_type(T.ArrayType(T.LongType()))
+
+
+def test_jdbc_writes_keep_the_parallelism_before_them(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    seen = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, *a, **b: seen.append(self._df.rdd.getNumPartitions()))
+    df = spark.range(100).repartition(6)
+    jdbc.replace_jdbc(df, "jdbc:x", "t")
+    jdbc.replace_jdbc(df, "jdbc:x", "t", connections=2)
+    assert seen == [6, 2]
 
 
 def _random_log(seed, events=300):
@@ -193,16 +222,19 @@ def test_kpis_are_published_after_every_batch(spark):
     events = versions(flatten_changes(source, ROW, KEYS), KEYS, MEASURES, ["ts_ms"])
     published = []
 
-    def publish(session, batch_id):
-        kpis = jobs.with_kpis(read_latest(session, f"{base}/log", KEYS, ["ts_ms"]).drop("ts_ms"))
-        write_csv(kpis, f"{base}/kpis")
+    def publish(changed, batch_id):
+        session, touched = changed.sparkSession, changed.select("company_name").distinct()
+        current = read_latest(session, f"{base}/log", KEYS, ["ts_ms"]).drop("ts_ms")
+        fresh = jobs.with_kpis(current.join(touched, "company_name", "left_semi").select(*current.columns))
+        for company, rows in ((r.company_name, fresh.filter(F.col("company_name") == r.company_name)) for r in touched.collect()):
+            write_csv(rows, f"{base}/kpis/{company}")
         published.append(batch_id)
 
     keep_running(lambda: upsert_batches(events, KEYS, ["ts_ms"], f"{base}/log", f"{base}/checkpoint",
                                         trigger={"availableNow": True}, publish=publish))
     nothing = spark.createDataFrame([], ROW)
     expected = jobs.statement_kpis(frame(spark, log), nothing)
-    got = read_csv(spark, f"{base}/kpis", expected.schema)
+    got = read_csv(spark, f"{base}/kpis/*", expected.schema)
     assert published == [0, 1]
     assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
 
@@ -216,14 +248,55 @@ def test_a_failing_query_is_started_again(spark):
         if not failures:
             failures.append(batch_id)
             raise RuntimeError("first attempt fails")
-        write_batch(batch, batch_id, f"{base}/log")
+        write_batch(batch, batch_id, f"{base}/log", "s")
 
     def start():
         return source.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint") \
             .trigger(availableNow=True).start()
 
     keep_running(start, restarts=1, pause_seconds=0)
-    assert spark.read.parquet(f"{base}/log").count() == 20 and failures == [0]
+    assert read_log(spark, f"{base}/log").count() == 20 and failures == [0]
+
+
+def test_a_new_checkpoint_keeps_the_old_rows(spark):
+    base = scratch_dir(spark, "checkpoints")
+    for run, key in (("one", "a"), ("two", "b")):
+        image = statement("Mar 2014", key, 1.0)
+        frame(spark, [envelope(image, 1)]).write.text(f"{base}/in-{run}")
+        source = cdc_source(spark, "text", {"path": f"{base}/in-{run}"}, streaming=True)
+        events = versions(flatten_changes(source, ROW, KEYS), KEYS, ["sales"], ["ts_ms"])
+        keep_running(lambda: upsert_batches(events, KEYS, ["ts_ms"], f"{base}/log", f"{base}/{run}", trigger={"availableNow": True}))
+    assert sorted(r.company_name for r in read_latest(spark, f"{base}/log", KEYS, ["ts_ms"]).collect()) == ["a", "b"]
+
+
+def test_an_unfinished_batch_is_not_read_and_a_repeated_one_replaces_itself(spark):
+    path = scratch_dir(spark, "commits")
+    rows = spark.createDataFrame([("a", 1, False)], "k string, t long, deleted boolean")
+    write_batch(rows, 0, path, "s")
+    rows.write.parquet(f"{path}/stream=s/batch_id=1/attempt=x")
+    assert read_log(spark, path).count() == 1
+    write_batch(rows.withColumn("k", F.lit("b")), 0, path, "s")
+    assert [r.k for r in read_log(spark, path).collect()] == ["b"]
+
+
+def test_only_failures_in_a_row_end_a_stream(monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    class Query:
+        def __init__(self, progress, fails):
+            self.recentProgress, self.fails = progress, fails
+
+        def awaitTermination(self):
+            if self.fails:
+                raise StreamingQueryException("stopped")
+
+    plan = [Query([1], True)] * 6 + [Query([], True), Query([1], True), Query([], False)]
+    starts = iter(plan)
+    keep_running(lambda: next(starts), restarts=2, pause_seconds=0)
+    starts = iter([Query([], True)] * 9)
+    with pytest.raises(StreamingQueryException):
+        keep_running(lambda: next(starts), restarts=2, pause_seconds=0)
+    assert len(list(starts)) == 6
 
 
 def test_scratch_folder(spark):
@@ -232,13 +305,33 @@ def test_scratch_folder(spark):
 
     class Session:
         class sparkContext:
-            master, applicationId = "yarn", "x"
+            applicationId = "x"
 
     Session.conf = Conf({"spark.checkpoint.dir": "hdfs://shared/tmp/"})
-    assert scratch_root(Session) == "hdfs://shared/tmp"
-    Session.conf = Conf()
-    with pytest.raises(ValueError):
-        scratch_root(Session)
-    assert scratch_root(spark) == scratch_root(spark)
-    assert shuffle_partitions(100 * 2**40) == 819_200 and shuffle_partitions(1) == 8
-    assert build_session("again") is not None
+    assert scratch_root(Session) == "hdfs://shared/tmp/x"
+    Session.conf = Conf({"spark.sql.warehouse.dir": "hdfs://warehouse"})
+    assert scratch_root(Session) == "hdfs://warehouse/_scratch/x"
+    path = scratch_dir(spark, "small")
+    assert read_text(spark, path) is None
+    for text in ("one", "two é"):
+        write_text(spark, path, text)
+        assert read_text(spark, path) == text
+    remove(spark, path)
+    assert read_text(spark, path) is None
+
+
+def test_settings():
+    assert shuffle_partitions(100 * 2**40) == 32_768 and shuffle_partitions(1) == 8 and shuffle_partitions(2**40) == 8192
+    assert build_session("again", streaming=True).conf.get("spark.sql.shuffle.partitions") == "512"
+    build_session("again", conf={"spark.sql.shuffle.partitions": "8"})
+
+
+def test_global_deletes_and_offsets_in_the_job(spark, existing):
+    log = spark.createDataFrame([
+        (envelope(statement("Mar 2015", "A", 5.0), 1), 2), (envelope(statement("Mar 2015", "A", 6.0), 1), 1),
+        (envelope(None, 1, statement("Mar 2013", "B", 1.0)), 3)], "value string, offset long")
+    got = jobs.statement_kpis(log, existing, growth_order="label", delete_keys=["date"])
+    assert [(r.company_name, r.date, r.sales) for r in got.collect()] == [
+        ("A", "Mar 2012", 10.0), ("A", "Mar 2015", 5.0), ("C", "Mar 2010", 7.0)]
+    by_time = jobs.statement_kpis(log, existing)
+    assert ("A", "Mar 2015", 5.0) in [(r.company_name, r.date, r.sales) for r in by_time.collect()]

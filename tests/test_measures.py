@@ -56,14 +56,15 @@ def test_ratios(spark):
             r.interest_coverage_ratio) == (15.0, 25.0, 10.0, 4.0, None)
 
 
-@pytest.mark.parametrize("decimals", [None, 2])
-def test_summary_row(spark, decimals):
+def test_summary_row(spark):
     df = spark.createDataFrame([("x", 10.0, 4.0), ("y", 20.0, None)], "date string, sales double, expenses double")
     columns = ["sales", "expenses"]
-    out = summary_last(complete_rows(append_summary(df, "date", columns, decimals), ["date", *columns]))
+    out = summary_last(complete_rows(append_summary(df, "date", columns), ["date", *columns]))
     assert [tuple(r) for r in out.collect()] == [("x", 10.0, 4.0), ("Average", 15.0, 4.0)]
-    empty = complete_rows(append_summary(df.limit(0), "date", columns, decimals), ["date", *columns])
+    empty = complete_rows(append_summary(df.limit(0), "date", columns), ["date", *columns])
     assert empty.count() == 0
+    fine = spark.createDataFrame([("x", 0.014), ("y", 0.015)], "date string, sales double")
+    assert append_summary(fine, "date", ["sales"]).filter("sort_key = 2").collect()[0].sales == 0.01
 
 
 def test_complete_rows_keep_nan(spark):

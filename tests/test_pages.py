@@ -6,9 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import clean_number, decode_references, normalise_label
-from tallybook.operators.statements import (clean_cells, line_items, melt_periods, pivot_cells, transpose,
-                                            union_statements)
-from tallybook.plans.jobs import load_statements
+from tallybook.operators.statements import clean_cells, melt_periods, pivot_cells, transpose, union_statements
+from tallybook.plans.jobs import load_statements, statement_cells
 from tallybook.sources.pages import page_items, page_tables, table_cells, wide_rows
 
 PAGE = """<html><script>"<section id='profit-loss'><table>"</script>
@@ -29,7 +28,7 @@ def pages(spark, *html):
 
 
 def test_statement_of_one_page(spark):
-    out = load_statements(pages(spark, PAGE), "profit-loss").orderBy("date").collect()
+    out = load_statements(pages(spark, PAGE), "profit-loss", ["sales", "opm_percent", "tax_percent"]).orderBy("date").collect()
     assert [r.asDict() for r in out] == [
         {"date": "Mar 2020", "sales": 1234.0, "opm_percent": 12.0, "tax_percent": 0.0, "company_name": "ACME"},
         {"date": "TTM", "sales": 1500.0, "opm_percent": 15.0, "tax_percent": -3.0, "company_name": "ACME"}]
@@ -75,6 +74,8 @@ def test_references(spark):
 
     assert decoded("a &amp;lt; b &#8377;&#x20B9; &#0; &#55296; &#x110000; &#99999999999; &nope; & ;&") \
         == "a &lt; b \u20b9\u20b9 \ufffd \ufffd \ufffd \ufffd &nope; & ;&"
+    assert decoded("&#0000000000065;&#x0000000000041;&eacute;&rarr;&Sigma;&#150;&amp&ampx;&copy2&notit;&#65 &verbar;&equals;") \
+        == "AA\u00e9\u2192\u03a3\u2013&&x;\u00a92\u00acit;A |="
     assert decoded("&euro;5&nbsp;&ndash;&#38;amp;") == "\u20ac5\u00a0\u2013&amp;"
 
 
@@ -102,17 +103,26 @@ def test_transposing_twice_restores_the_table(spark):
         == sorted((c, i, *map(float, v)) for c, i, *v in data)
 
 
-def test_first_of_repeated_labels(spark):
-    cells = spark.createDataFrame([("A", 2, "x", "p", "2"), ("A", 1, "x", "p", "1")],
-                                  "k string, row_no int, label string, period string, value string")
-    assert pivot_cells(clean_cells(cells), ["k"], ["x"]).collect()[0].x == 1.0
-
-
-def test_too_many_line_items_is_an_error(spark):
-    cells = spark.range(50).select(F.col("id").cast("string").alias("label"))
-    assert len(line_items(cells, 50)) == 50
-    with pytest.raises(ValueError):
-        line_items(cells, 49)
+def test_nothing_on_a_page_is_lost(spark):
+    """Nested sections, two columns with one header, repeated and empty labels."""
+    html = ('<section id="s"><section>x<section>y</section></section><p>note</p><table><tr><th></th><th>Mar 2020</th>'
+            "<th>Mar 2020</th></tr><tr><td>Sales</td><td>1</td><td>2</td></tr><tr><td>Sales+</td><td>3</td><td>4</td></tr>"
+            "<tr><td></td><td>5</td><td>6</td></tr></table></section><table><tr><th>n</th></tr></table>")
+    cells = statement_cells(pages(spark, html), "s").orderBy("col_no", "row_no").collect()
+    assert [(r.date, r.label, r.value) for r in cells] == [
+        ("Mar 2020", "sales", 1.0), ("Mar 2020", "sales_2", 3.0), ("Mar 2020", "unnamed", 5.0),
+        ("Mar 2020", "sales", 2.0), ("Mar 2020", "sales_2", 4.0), ("Mar 2020", "unnamed", 6.0)]
+    wide = load_statements(pages(spark, html), "s", ["sales", "sales_2", "unnamed", "other"]).collect()
+    assert sorted(tuple(r) for r in wide) == [("Mar 2020", 1.0, 3.0, 5.0, 0.0, "ACME"), ("Mar 2020", 2.0, 4.0, 6.0, 0.0, "ACME")]
+    shown = wide_rows(page_tables(pages(spark, html), ["company_name"], "s"), ["company_name"], ["Mar 2020", "Mar 2020"])
+    assert [tuple(r)[2:] for r in shown.orderBy("row_no").collect()] == [("Sales", "1", "2"), ("Sales+", "3", "4"), ("", "5", "6")]
+
+
+def test_repeated_labels_without_positions(spark):
+    cells = spark.createDataFrame([("A", 0, 1, "x", "p", "2"), ("A", 0, 1, "x", "p", "1")],
+                                  "k string, row_no int, col_no int, label string, period string, value string")
+    row = pivot_cells(clean_cells(cells, ["k"]), ["k"], ["x", "x_2"]).collect()[0]
+    assert (row.x, row.x_2) == (1.0, 2.0)
 
 
 def test_schema_drift(spark):
