@@ -29,6 +29,8 @@ def weights_by_power(counts: dict[str, int], power: float = 0.5) -> dict[str, fl
 def whole_parts(weights: dict[str, float], slots: int = SLOTS) -> dict[str, int]:
     """Parts of ``slots`` in proportion to the weights, one at least, by largest remainders; ties by name."""
     weights = {s: w for s, w in weights.items() if w > 0}
+    if not weights:
+        return {}
     slots = max(slots, len(weights))
     total = sum(weights.values())
     exact = {s: w / total * slots for s, w in weights.items()}
