@@ -34,7 +34,8 @@ from tallybook.session import scratch_dir
 COUNTER_BITS = 21
 BLOCK = 1 << 14
 SMALL_GROUP = 64      # classes of a shingle that are paired row by row; larger groups are compared in blocks
-PROBE_BLOCK, TARGET_BLOCK = 128, 512
+PROBE_BLOCK, TARGET_BLOCK = 512, 2048  # the sets of a probe block are held in memory, targets pass by
+PAIR_PART = 512
 BROADCAST_ROWS = 1_000_000  # rows of some 60 bytes
 
 
@@ -264,9 +265,9 @@ class JaccardJoin:
         return self.docs.select("id", "text").join(rows, "id")
 
     def verify_pairs(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Links among pairs (a, b); the pairs of one b are dealt out by parts of about ``TARGET_BLOCK``."""
+        """Links among pairs (a, b); the pairs of one b are dealt out by parts of about ``PAIR_PART``."""
         pairs = self.keep(pairs, f"{name}-pairs")
-        parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / TARGET_BLOCK).alias("parts"))
+        parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PAIR_PART).alias("parts"))
         none = F.lit(None).cast("bigint").alias("pos")
         targets = pairs.join(parts, "b").select(
             F.col("b").alias("key"), F.pmod(F.xxhash64("a"), "parts").alias("part"), F.lit(False).alias("probe"),
