@@ -36,7 +36,7 @@ BLOCK = 1 << 14
 SMALL_GROUP = 64      # classes of a shingle that are paired row by row; larger groups are compared in blocks
 PROBE_BLOCK, TARGET_BLOCK = 512, 2048  # the sets of a probe block are held in memory, targets pass by
 PAIR_PART = 512
-BROADCAST_ROWS = 1_000_000  # rows of some 60 bytes
+BROADCAST_ROWS = 250_000  # rows of some 150 bytes
 
 
 def set_hash(shingles: np.ndarray) -> int:
@@ -116,8 +116,8 @@ def prefix_length(n: int, percent: int) -> int:
 def prefix_rows(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
     """(token, h, place, suffix) for the prefix of each set; a set is given once per task.
 
-    ``place`` holds n above and the position below; ``suffix`` four 16-bit numbers: how many of the shingles
-    after the position lie in each quarter of the hash space, or -1 if one does not fit.
+    ``place`` holds n above and the position below; ``suffix`` two 16-bit numbers: how many of the shingles
+    after the position lie in each half of the hash space, or -1 if one does not fit.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,11 +132,12 @@ def prefix_rows(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
                 seen.add(h)
                 ordered = rare_first(shingles, counts.value)
                 p = prefix_length(n, percent)
-                quarter = (ordered >> np.uint64(62)).astype(np.int64)
-                after = np.bincount(quarter, minlength=4) - np.cumsum(np.eye(4, dtype=np.int64)[quarter[:p]], axis=0)
-                packed = (after.astype(np.uint64) << np.array([0, 16, 32, 48], np.uint64)).sum(axis=1, dtype=np.uint64)
-                packed[after.max(axis=1) > 0xFFFF] = np.uint64((1 << 64) - 1)
-                out.append((ordered[:p].view(np.int64), np.full(p, h, np.int64), (n << 32) + np.arange(p), packed.view(np.int64)))
+                half = (ordered >> np.uint64(63)).astype(np.int64)
+                upper = half.sum() - np.cumsum(half[:p])
+                lower = n - 1 - np.arange(p) - upper
+                packed = lower | upper << 16
+                packed[np.maximum(lower, upper) > 0xFFFF] = -1
+                out.append((ordered[:p].view(np.int64), np.full(p, h, np.int64), (n << 32) + np.arange(p), packed))
                 held += p
                 if held > 200_000:
                     yield columns(out)
@@ -161,7 +162,7 @@ def may_link(a: str, b: str, percent: int) -> Column:
     left = {s: n[s] - F.col(f"{s}.place").bitwiseAND(F.lit(0xFFFFFFFF)) - 1 for s in (a, b)}
     both, t = n[a] + n[b], 100 + percent
     apart = sum((F.abs(F.shiftrightunsigned(f"{a}.suffix", s).bitwiseAND(F.lit(0xFFFF))
-                       - F.shiftrightunsigned(f"{b}.suffix", s).bitwiseAND(F.lit(0xFFFF))) for s in (0, 16, 32, 48)),
+                       - F.shiftrightunsigned(f"{b}.suffix", s).bitwiseAND(F.lit(0xFFFF))) for s in (0, 16)),
                 start=F.lit(0))
     return ((100 * F.least(n[a], n[b]) >= percent * F.greatest(n[a], n[b]))
             & (t * (1 + F.least(left[a], left[b])) >= percent * both)
@@ -250,7 +251,7 @@ class JaccardJoin:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, name: str) -> None:
