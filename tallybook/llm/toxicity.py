@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.textkit import LOWER, span_hashes, spans, text_buffer, chunks
 
-SAMPLE_ROWS = 12_000   # labelled documents the models are fitted on, by least hash of the id
+SAMPLE_ROWS = 6_000   # labelled documents the models are fitted on, by least hash of the id
 TERMS = 4096
 LEAST_DOCS = 5
 FOLDS = 5
@@ -101,13 +101,16 @@ class ToxicityChain:
 
 def telling_terms(doc, term, y, most=TERMS, least=LEAST_DOCS) -> np.ndarray:
     """The terms whose share among documents with y = 1 differs most from that among the others (chi-square)."""
-    keys, index = np.unique(term, return_inverse=True)
-    both = np.bincount(index, minlength=len(keys)).astype(float)
-    pos = np.bincount(index, weights=y[doc], minlength=len(keys))
+    keys, both = np.unique(term, return_counts=True)
+    keys, both = keys[both >= least], both[both >= least].astype(float)
+    with_y, held = np.unique(term[(y > 0)[doc]], return_counts=True)
+    at = np.searchsorted(keys, with_y)
+    found = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == with_y) if len(keys) else np.zeros(len(with_y), bool)
+    pos = np.zeros(len(keys))
+    pos[at[found]] = held[found]
     n, p = len(y), max(y.sum(), 1e-9)
     expected = both * p / n
     score = (pos - expected) ** 2 / np.maximum(expected * (1 - p / n) * (1 - both / (n + 1)), 1e-9)
-    score[both < least] = -1
     best = np.argsort(-score, kind="stable")[:most]
     return np.sort(keys[best[score[best] > 0]])
 
@@ -172,9 +175,10 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, categories: list[str], ro
     got = sample.mapInArrow(extract, "terms binary, key bigint, " + ", ".join(f"`{c}` double" for c in categories)).collect()
     got.sort(key=lambda r: (r.key, r.terms))
     parts = [np.frombuffer(r.terms, np.uint32) for r in got]
-    doc = np.repeat(np.arange(len(got)), [len(p) for p in parts])
-    return (doc, np.concatenate(parts) if parts else np.empty(0, np.uint32),
-            {c: np.array([r[c] for r in got]) for c in categories}, np.array([r.key % FOLDS for r in got], np.int64))
+    marks, fold = {c: np.array([r[c] for r in got]) for c in categories}, np.array([r.key % FOLDS for r in got], np.int64)
+    del got
+    doc = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+    return doc, np.concatenate(parts) if parts else np.empty(0, np.uint32), marks, fold
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], id_column: str = "doc_id",
