@@ -338,7 +338,8 @@ def near_duplicate_classes(docs: DataFrame, id_column: str = "doc_id", text_colu
 
     Two documents link when 100 * |intersection| >= percent * |union| of their sets of ``width``-word shingles
     (A-Z in lower case; a shorter text is one shingle). A null, empty or blank text has an empty set and links
-    with nothing. Repeated rows are each returned. An empty table gives no rows. Other columns are left out.
+    with nothing. Repeated rows are each returned. A text found only in rows without an id links with equal sets
+    alone. An empty table gives no rows. Other columns are left out.
     """
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return JaccardJoin(own, width, percent).run().withColumnRenamed("id", id_column)

@@ -51,7 +51,7 @@ def sigmoid(x):
 class Linear:
     """Logistic regression on sparse 0/1 terms and a few dense columns, by accelerated gradient steps."""
 
-    def __init__(self, doc, term, dense, y, terms, penalty=1e-3, steps=250):
+    def __init__(self, doc, term, dense, y, terms, penalty=1e-4, steps=250):
         n, k = len(y), dense.shape[1]
         self.w, self.v, self.b = np.zeros(terms), np.zeros(k), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
         counts = np.bincount(term, minlength=terms)

@@ -35,7 +35,7 @@ def test_later_models_see_out_of_fold_predictions():
     term = rng.integers(0, 300, 6 * n).astype(np.uint32)
     noise = rng.integers(0, 2, n)  # nothing to learn: in-fold predictions would look telling all the same
     chain = fit_chain(doc, term, {"first": noise, "second": noise}, np.arange(n) % 5)
-    assert abs(chain.models[1].v[0]) < 2
+    assert chain.models[1].v[0] < 2  # out of fold they look useless, or a little worse
     assert len(chain.models) == 2 and chain.categories == ["first", "second"]
 
 
