@@ -4,7 +4,7 @@ toxicity            documents of a toxic probability of one half or more go
 ngram_jaccard_join  of each class of near duplicates the document with the least id stays
 secret_scans        secrets are masked in the text; every document stays
 mix_sources         documents are put into the order in which sources reach their target weights
-best_fit_packing    texts become token sequences of 1,024; one row per piece
+best_fit_packing    texts become token sequences of 1,024, numbered in the order of the mix; one row per piece
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written and read again as the next one's
 documents. All but the last return the columns that they got. The stages train and use hashes that SQL does
@@ -13,6 +13,7 @@ not have, so there is no SQL for the whole.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +57,25 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.orderBy("mix_slot", "mix_offset").select(*docs.columns)
 
 
+def in_written_order(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of a table of Spark's part files, dealt out in the order in which its rows were written.
+
+    A plain read deals files out by size. Here a row of a lower partition stands before all rows of a higher one.
+    Frames that do not come from files have no such order and stay as they are.
+    """
+    try:
+        rows = docs.select(*columns, F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        return docs.select(*columns)
+    place = [F.expr("try_cast(regexp_extract(__file, '^part-([0-9]+)', 1) as bigint)"), F.col("__file"), F.col("__row")]
+    return rows.repartitionByRange(*place).sortWithinPartitions(*place).select(*columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
+    """Ascending sequence_id follows the mix, as far as the open sequences of a partition reach."""
+    rows = in_written_order(docs, ["doc_id", "text"])
+    return pack_documents(rows, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"),
+                          keep_order=True)
 
 
 STAGES = [("toxicity", drop_toxic), ("ngram_jaccard_join", drop_near_duplicates), ("secret_scans", mask_secrets),

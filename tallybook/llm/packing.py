@@ -4,7 +4,8 @@ Method: bounded-space online best fit. A fixed number of sequences is open at a
 keyed by their free space in one bitset (bit f set: some open sequence has f places free), so the tightest
 one that takes a piece is found by a shift and a lowest set bit. When none takes it and all are open, the
 fullest is closed. At the end of a partition the pieces of the sequences still open are laid out once more,
-longest first, which fills the tail.
+longest first, which fills the tail. Where the order of the documents counts (``keep_order``) they are left as
+they are and numbered by the first document in each.
 
 Each partition of the input packs for itself, while it is tokenised: no shuffle, memory of the open
 sequences only, and a lost task gives the same sequences again.
@@ -69,14 +70,17 @@ class OpenBins:
             self._put(free - length, bin_)
         return closed
 
+    def rest(self) -> list[list]:
+        return [bin_ for stack in self.by_free.values() for bin_ in stack]
+
     def finish(self) -> list[list]:
         """Close the rest: its pieces packed anew, longest first (best fit decreasing)."""
-        rest = [piece for stack in self.by_free.values() for bin_ in stack for piece in bin_]
+        rest = [piece for bin_ in self.rest() for piece in bin_]
         again = OpenBins(self.capacity, len(rest) + 1)
         closed = []
         for length, item in sorted(rest, key=lambda piece: -piece[0]):
             closed += again.add(length, item)
-        return closed + [bin_ for stack in again.by_free.values() for bin_ in stack]
+        return closed + again.rest()
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -89,12 +93,13 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = None, *, id_column: str = "doc_id",
                    text_column: str = "text", capacity: int = 1024, end_id: int = 2,
-                   open_bins: int = 512) -> DataFrame:
+                   open_bins: int = 512, keep_order: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids, sequence_id, offset.
 
     ``ids`` holds the piece's token ids as little-endian unsigned 32-bit values. A null text counts as
     empty and gives one piece with the end id alone. Repeated rows are packed one by one. An empty table
-    gives no rows; other columns of ``docs`` are left out. A null id stays null.
+    gives no rows; other columns of ``docs`` are left out. A null id stays null. With ``keep_order`` ascending
+    sequence_id follows the partitions and the rows in each, as far as a sequence stays open.
     """
     schema = (f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, piece int, start long, length long, "
               "ids binary, sequence_id long, offset long")
@@ -105,7 +110,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
         bins = OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
         rows: list[tuple] = []
-        sequence = held = 0
+        sequence = held = turn = 0
         names = [id_column, "piece", "start", "length", "ids", "sequence_id", "offset"]
         id_type = None
 
@@ -117,7 +122,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
         def close(bin_):
             nonlocal sequence, held
             offset = 0
-            for length, (key, piece, start, ids) in bin_:
+            for length, (_, key, piece, start, ids) in bin_:
                 rows.append((key, piece, start, length, ids, base + sequence, offset))
                 offset += length
             held += offset
@@ -135,13 +140,14 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
                     own = np.append(ids[at:at + n], np.uint32(end_id)).astype("<u4")
                     at += n
                     for piece, (start, length) in enumerate(cut(n + 1, capacity)):
-                        item = (key, piece, start, own[start:start + length].tobytes())
+                        item = (turn, key, piece, start, own[start:start + length].tobytes())
+                        turn += 1
                         for bin_ in bins.add(length, item):
                             close(bin_)
                 if held >= limit:
                     yield emit()
                     rows, held = [], 0
-        for bin_ in bins.finish():
+        for bin_ in sorted(bins.rest(), key=lambda b: b[0][1][0]) if keep_order else bins.finish():
             close(bin_)
         if rows:
             yield emit()

@@ -4,9 +4,12 @@ from collections import Counter
 
 import corpus_pipeline as pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_ngram_join import plain as classes
 from test_secret_scan import plain as secrets
 
+from tallybook.llm.mixing import mix_sources
+
 FOLDER = "/root/testdata/sf0.01"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,6 +53,31 @@ def test_mix_keeps_every_document(stages):
     assert Counter(stages[3]) == Counter(stages[4]) and stages[3] != stages[4]
 
 
+def test_sequences_follow_the_mix_on_a_table_of_many_files(spark, tmp_path):
+    sizes, words = {"a": 6000, "b": 1500, "c": 400}, {"a": 20, "b": 60, "c": 180}
+    rows = [(i * 3 + k, "word " * (words[s] + i % 7), "en", s, 0) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    source_of = {r[0]: r[3] for r in rows}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pipeline.mix(spark, docs, FOLDER).write.parquet(f"{tmp_path}/mixed")
+        assert len(list((tmp_path / "mixed").glob("part-*.parquet"))) >= 6
+        packed = pipeline.pack(spark, spark.read.parquet(f"{tmp_path}/mixed"), FOLDER).collect()
+        plan = mix_sources(docs, key=F.col("doc_id")).orderBy("mix_slot", "mix_offset").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = [source_of[r.doc_id] for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset)) if r.piece == 0]
+    want = [r.source for r in plan]
+    assert len(got) == len(want) == len(rows)
+    total = sum(n ** 0.5 for n in sizes.values())
+    for at in range(0, len(got), 500):
+        part, planned = Counter(got[at:at + 500]), Counter(want[at:at + 500])
+        n = len(got[at:at + 500])
+        assert all(abs(part[s] - planned[s]) < 0.1 * n for s in sizes), (at, part, planned)
+        if at < 2500:  # every source lasts so far
+            assert all(abs(part[s] / n - k ** 0.5 / total) < 0.1 for s, k in sizes.items()), (at, part)
+
+
 def test_packing_takes_every_document(stages):
     assert {r.doc_id for r in stages[5]} == {r.doc_id for r in stages[4]}
 
