@@ -4,7 +4,8 @@ The pattern kinds come first. Beside them every run of 20 or more characters tha
 is a candidate: its class (hex digits, letters and digits, base64) sets alphabet and threshold, and Shannon
 entropy is followed over a window that slides through the run. The window's counts per character are kept up
 to date by one entering and one leaving character, and with them the sum of c * log2(c) as a whole number,
-so that nothing drifts. Runs on the allow-list are left alone.
+so that nothing drifts. Runs on the allow-list are left alone. Of a run that holds a pattern's span the
+stretches before, between and behind such spans are candidates of their own.
 """
 
 from __future__ import annotations
@@ -96,21 +97,40 @@ def candidate_rank(run: str) -> str:
     return f"if(length({run}) < {MIN_RUN} or {allowed}, null, case {' '.join(cases)} end)"
 
 
+def stretches(runs: str, spans: str, text: str) -> str:
+    """``runs`` without the places of ``spans``; what is left of each has ``MIN_RUN`` characters or more.
+
+    One separator where a stretch meets a span joins the two and belongs to neither.
+    """
+    def joint(at: str) -> str:
+        return f"if(substring({text}, cast({at} as int), 1) rlike '[+/_=-]', 1, 0)"
+
+    begin = f"a.at + if(a.at > r.start, {joint('a.at + 1')}, 0)"
+    end = f"b.start - if(b.start < r.end, {joint('b.start')}, 0)"
+    left = _let(f"named_struct('start', {begin}, 'rank', r.rank, 'end', {end})", "c",
+                f"if(c.end - c.start >= {MIN_RUN}, array(c), {EMPTY})")
+    cut = (f"aggregate(concat(m, array(named_struct('start', r.end, 'rank', r.rank, 'end', r.end))), "
+           f"named_struct('at', r.start, 'out', {EMPTY}), (a, b) -> named_struct('at', greatest(a.at, b.end), "
+           f"'out', if(b.start - a.at >= {MIN_RUN}, concat(a.out, {left}), a.out)), a -> a.out)")
+    met = f"array_sort(filter({spans}, b -> b.start < r.end and r.start < b.end))"
+    return f"flatten(transform({runs}, r -> {_let(met, 'm', f'if(size(m) = 0, array(r), {cut})')}))"
+
+
 def find_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with ``secret_spans``: array of (start, kind, end) by start, then kind; characters, end exclusive.
 
-    A run of high entropy that touches a pattern's span is not reported again. Null and empty texts have no spans.
+    Of a run of high entropy only what lies outside the patterns' spans is reported. Null and empty texts have no spans.
     """
     text = f"coalesce(`{text_column}`, '')"
     own = docs.withColumn("__base", F.expr(_let(text, "t", "concat(" + ", ".join([
         located("t", ASSIGN[0], 0, ASSIGN[1], group=2), located("t", ACCESS[0], 1, ACCESS[1]),
         located("t", HEX[0], 2, HEX[1])]) + ")")))
-    runs = located("t", RUN, 0, MIN_RUN)
+    runs = stretches(located("t", RUN, 0, MIN_RUN), "__base", "t")
     runs = _let(text, "t", f"transform({runs}, r -> named_struct('start', r.start, 'rank', "
                 + _let("substring(t, cast(r.start as int) + 1, cast(r.end - r.start as int))", "c", candidate_rank("c"))
                 + ", 'end', r.end))")
     own = own.withColumn("__more", F.expr(
-        f"filter({runs}, r -> r.rank is not null and not exists(__base, b -> b.start < r.end and r.start < b.end))"))
+        f"filter({runs}, r -> r.rank is not null)"))
     names = ", ".join(f"'{k}'" for k in KINDS)
     return own.withColumn("secret_spans", F.expr(
         f"transform(array_sort(concat(__base, __more)), s -> named_struct("
