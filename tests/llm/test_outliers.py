@@ -83,6 +83,29 @@ def test_query(spark):
     assert sum(r.kept for r in junk) <= 0.25 * len(junk)
 
 
+def test_each_statistic_alone_leads_to_rejection(spark):
+    rng = np.random.default_rng(5)
+
+    def words(n, low=3, high=8):
+        return ["".join(rng.choice(list("abcdefghijklmnopqrst"), rng.integers(low, high))) + "uvwxyz"[i % 6] for i in range(n)]
+
+    def plain_text(n=97):
+        w = words(n)
+        return "\n".join(" ".join(w[i:i + 12]) for i in range(0, n, 12))
+
+    block = words(14)
+    odd = {"word length": " ".join(words(97, 28, 32)),
+           "symbols": " ".join(w + "#" * (i % 3 == 0) for i, w in enumerate(words(97))),
+           "lines": "\n".join(f"{w}\nread more\nlog in" for w in words(30)),
+           "repeats": " ".join(block + words(60) + block + words(9)),
+           "capitals": " ".join(w.upper() if i % 2 else w for i, w in enumerate(words(97)))}
+    docs = [(f"plain {i}", plain_text(), "en", "a") for i in range(300)] + [(k, t, "en", "a") for k, t in odd.items()]
+    rows = {r.doc_id: r for r in reject_outliers(spark.createDataFrame(docs, "doc_id string, text string, lang string, source string")).collect()}
+    assert not any(rows[k].base_failed for k in odd)
+    assert {k for k in odd if rows[k].kept} == set(), {k: rows[k].distance for k in odd}
+    assert sum(rows[f"plain {i}"].kept for i in range(300)) >= 297
+
+
 def test_plan_has_no_python(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     assert "Python" not in reject_outliers(docs)._jdf.queryExecution().toString()
