@@ -10,6 +10,7 @@ from tallybook.llm.mixing import mix_sources
 from tallybook.llm.ngram_join import near_duplicate_classes
 from tallybook.llm.outliers import reject_outliers
 from tallybook.llm.packing import pack_documents
+from tallybook.llm.periodic_runs import detect_runs
 from tallybook.llm.quality import score_quality, train_quality
 from tallybook.llm.secret_scan import BASE_KINDS, find_secrets
 from tallybook.llm.token_counts import count_pieces
@@ -106,6 +107,29 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_pieces(docs, vocabulary("piece_bpe_32k.model")).drop("text")
 
 
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the words of about a tenth of the documents repeat a stretch from some place to their end."""
+    split = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"),
+                        F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w"))
+    placed = split.selectExpr("doc_id", "text", "h", "w", "size(w) as n", "h div 10 as g",
+                              "case when size(w) > 0 then (h div 10) % size(w) end as a")
+    again = F.expr("""array_join(transform(sequence(0, n - 1), i ->
+        w[cast(if(i < a, i, a + (i - a) % (1 + (n - a) div (3 + g % 8))) as int)]), ' ')""")
+    return placed.select("doc_id", F.when(F.expr("h % 10 = 0 and n > 0"), again).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detect_runs(with_planted_repeats(table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @query
 def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second replica has a changed character in some records and some that cannot be read."""
