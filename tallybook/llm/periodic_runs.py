@@ -23,7 +23,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.llm.textkit import SPACES, chunks, mix, span_hashes, spans, text_buffer
@@ -178,6 +177,6 @@ def detect_runs(docs: DataFrame, text_column: str = "text", least: int = 6, powe
                        pa.array([f[2] for f in found], pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, last - first).columns, *new], names=[*columns, *names])
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in columns]).schema
+    schema = docs.select(*columns).schema
     schema = schema.add("n_words", "long").add("runs", RUNS).add("collapsed", "string")
-    return docs.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(detect, schema)
+    return docs.select(*columns).mapInArrow(detect, schema)

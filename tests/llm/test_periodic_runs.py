@@ -64,8 +64,8 @@ def test_texts_of_every_kind(spark):
     texts = [None, "", " \n ", "a", "a a a a a", "a a a a a a", "a a a a a a", "x a b a b\ta b a b a y", "é é é é é é\x0bé",
              "b " * 70_000, " ".join(f"{i % 5000}" for i in range(30_000)), "a a a a a a a a"]
     rows = [(None if i == 3 else i, t, "kept", 7) for i, t in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, runs string, other int").toDF("doc_id", "text", "runs", "a.b")
-    got = {(r.doc_id, r.text, r["a.b"]): r for r in detect_runs(docs).collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, runs string, other int")
+    got = {(r.doc_id, r.text, r.other): r for r in detect_runs(docs).collect()}
     assert len(got) == len(texts)
     for i, text, _, seven in rows:
         r = got[i, text, seven]
