@@ -15,6 +15,7 @@ from tallybook.llm.quality import score_quality, train_quality
 from tallybook.llm.secret_scan import BASE_KINDS, find_secrets
 from tallybook.llm.token_counts import count_pieces
 from tallybook.llm.toxicity import score_toxicity, train_toxicity
+from tallybook.llm.vector_packing import Limits, pack_examples
 from tallybook.llm.winnowing import edit_check
 
 QUERIES, ORACLE = {}, {}
@@ -107,6 +108,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_pieces(docs, vocabulary("piece_bpe_32k.model")).drop("text")
 
 
+@query
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4,096 tokens of at most 64 documents; every token of a plain document bears loss."""
+    pieces = pack_examples(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"),
+                           limits=Limits(tokens=4096, segments=64, loss_tokens=4096))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "loss_tokens")
+
+
 def with_planted_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and text, where the words of about a tenth of the documents repeat a stretch from some place to their end."""
     split = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"),
