@@ -13,6 +13,7 @@ from tallybook.llm.packing import pack_documents
 from tallybook.llm.periodic_runs import detect_runs
 from tallybook.llm.quality import score_quality, train_quality
 from tallybook.llm.secret_scan import BASE_KINDS, find_secrets
+from tallybook.llm.token_alignment import align_tokens
 from tallybook.llm.token_counts import count_pieces
 from tallybook.llm.toxicity import score_toxicity, train_toxicity
 from tallybook.llm.vector_packing import Limits, pack_examples
@@ -117,6 +118,11 @@ def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "loss_tokens")
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def with_planted_repeats(docs: DataFrame) -> DataFrame:
     """doc_id and text, where the words of about a tenth of the documents repeat a stretch from some place to their end."""
     split = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"),
