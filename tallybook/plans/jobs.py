@@ -60,8 +60,8 @@ def statement_summary(envelopes: DataFrame, existing: DataFrame, **settings) ->
     return summary_last(complete_rows(summed, ["date", *MEASURES]), period_start(F.col("date")))
 
 
-def with_kpis(merged: DataFrame, order: str = "time", split_companies: bool = False) -> DataFrame:
-    """Ratios and growth of merged statements, sorted by company and period, trailing periods left out.
+def add_kpis(merged: DataFrame, order: str = "time", split_companies: bool = False) -> DataFrame:
+    """Ratios and growth of merged statements, trailing periods left out.
 
     Growth compares with the preceding period in time; ``order="label"`` compares in label order.
     The trailing period takes part last, so that it is never another period's predecessor.
@@ -77,7 +77,12 @@ def with_kpis(merged: DataFrame, order: str = "time", split_companies: bool = Fa
     if split_companies:
         bucket = F.year("_start") if order == "time" else F.substring("date", 1, 3)
     grown = with_growth(dated, ["company_name"], by, growth, bucket).drop("_start")
-    return exclude_prefix(grown, "date", TRAILING_LABEL).orderBy("company_name", "date")
+    return exclude_prefix(grown, "date", TRAILING_LABEL)
+
+
+def with_kpis(merged: DataFrame, order: str = "time", split_companies: bool = False) -> DataFrame:
+    """``add_kpis``, sorted by company and period."""
+    return add_kpis(merged, order, split_companies).orderBy("company_name", "date")
 
 
 def statement_kpis(envelopes: DataFrame, existing: DataFrame, growth_order: str = "time",

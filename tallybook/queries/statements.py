@@ -77,10 +77,10 @@ def _average(measure: str) -> str:
 
 
 _MERGE_SQL = "WITH {} SELECT date, company_name, " + ", ".join(MEASURES) + " FROM m WHERE NOT starts_with(date, 'TTM')"
-_IN_TIME = "CASE WHEN date <> 'TTM' THEN strptime('01 ' || date, '%d %b %Y') END NULLS LAST"
+IN_TIME = "CASE WHEN date <> 'TTM' THEN strptime('01 ' || date, '%d %b %Y') END NULLS LAST"
 
 
-def _kpis(merged: str, order: str) -> str:
+def kpis_sql(merged: str, order: str) -> str:
     return f"""WITH {merged},
 g AS (SELECT m.*, {sql_ratio('net_profit', 'sales', ' * 100')} AS net_profit_margin,
        {sql_ratio('operating_profit', 'sales', ' * 100')} AS operating_profit_margin,
@@ -93,9 +93,9 @@ SELECT * FROM g WHERE NOT starts_with(date, 'TTM')"""
 
 
 ORACLE = {
-    "statement_kpis": _kpis(_merged(jobs.MULTI_KEYS, "FULL"), _IN_TIME),
-    "statement_kpis_label_order": _kpis(_merged(jobs.MULTI_KEYS, "FULL", sticky=True), "date"),
-    "statement_kpis_global_deletes": _kpis(
+    "statement_kpis": kpis_sql(_merged(jobs.MULTI_KEYS, "FULL"), IN_TIME),
+    "statement_kpis_label_order": kpis_sql(_merged(jobs.MULTI_KEYS, "FULL", sticky=True), "date"),
+    "statement_kpis_global_deletes": kpis_sql(
         _merged(jobs.MULTI_KEYS, "FULL", sticky=True, gone_by=["date"], months_later=MONTHS_LATER), "date"),
     "statement_merge": _MERGE_SQL.format(_merged(jobs.MULTI_KEYS, "LEFT")),
     "statement_merge_sticky_deletes": _MERGE_SQL.format(_merged(jobs.MULTI_KEYS, "LEFT", sticky=True)),

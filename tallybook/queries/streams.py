@@ -36,9 +36,29 @@ def stream_upsert_foreachbatch(spark, sf_dir):
     return _run_in_two_halves(spark, sf_dir, upsert_batches)
 
 
-QUERIES = {f.__name__: f for f in (stream_latest_per_key, stream_upsert_foreachbatch)}
+def stream_tiered_log(spark, sf_dir):
+    """Four batches into a log with small levels, so that runs are folded; the third batch fails at its first attempt."""
+    base, failed = scratch_dir(spark, "tiers"), []
+    event_envelopes(spark, sf_dir).select("value").repartition(4).write.text(f"{base}/in")
 
-_LATEST = f"""WITH {EVENTS_SQL}, l AS (
+    def publish(changed, batch_id):
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("the third batch fails after its commit")
+
+    def start():
+        source = cdc_source(spark, "text", {"path": f"{base}/in", "maxFilesPerTrigger": "1"}, streaming=True)
+        events = versions(flatten_changes(source, EVENT_ROW, EVENT_KEYS, SOURCE_FIELDS), EVENT_KEYS, PAYLOAD, SOURCE_FIELDS)
+        return upsert_batches(events, EVENT_KEYS, SOURCE_FIELDS, f"{base}/log", f"{base}/checkpoint", {"availableNow": True},
+                              publish, buckets=8, first_rows=200, fan=4)
+
+    keep_running(start, pause_seconds=0)
+    return read_latest(spark, f"{base}/log", EVENT_KEYS, SOURCE_FIELDS)
+
+
+QUERIES = {f.__name__: f for f in (stream_latest_per_key, stream_upsert_foreachbatch, stream_tiered_log)}
+
+LATEST_SQL = f"""WITH {EVENTS_SQL}, l AS (
 SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY ts_ms DESC, lsn DESC) = 1)
 SELECT user_id, k, event_type, value, ts_ms, lsn FROM l WHERE NOT gone"""
-ORACLE = {"stream_latest_per_key": _LATEST, "stream_upsert_foreachbatch": _LATEST}
+ORACLE = dict.fromkeys(QUERIES, LATEST_SQL)

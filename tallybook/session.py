@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
@@ -73,16 +74,20 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file in one step, in place of an older one: written beside it, then renamed."""
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one; False if there is. A file is never written over."""
     files, place = _file(spark, path)
-    _, beside = _file(spark, f"{path}.{uuid.uuid4().hex}.new")
-    out = files.create(beside, True)
+    if files.exists(place):
+        return False
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
     out.write(bytearray(text.encode()))
     out.close()
-    if not files.rename(beside, place):  # some file systems do not rename onto a file
-        files.delete(place, False)
-        files.rename(beside, place)
+    return True
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -96,13 +101,18 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return data.decode()
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed, in milliseconds."""
+    files, place = _file(spark, path)
+    return files.getFileStatus(place).getModificationTime()
+
+
 def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """The files in a folder, without those still being written."""
+    """What is in a folder, by name, without hidden files."""
     files, place = _file(spark, folder)
     if not files.exists(place):
         return []
-    names = [f"{folder}/{s.getPath().getName()}" for s in files.listStatus(place)]
-    return sorted(n for n in names if not n.endswith(".new") and "/." not in n)
+    return sorted(f"{folder}/{n}" for n in (s.getPath().getName() for s in files.listStatus(place)) if n[0] not in "._")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

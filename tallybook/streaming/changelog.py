@@ -1,19 +1,19 @@
 """Streaming upserts.
 
 Rewriting a whole snapshot for every micro-batch would cost the size of the table each time. Here a
-batch writes only its own newest rows, into a folder of its own, and readers take the newest row of
-each key over all committed folders. The event time stays with each row and deletes stay as marked
+batch adds its own newest rows to a tiered log (``sinks.buckets.TieredLog``), which folds runs together as they fill up,
+and readers take the newest row of each key. The event time stays with each row and deletes stay as marked
 rows: an old event that arrives late can then neither overwrite a newer row nor bring back a deleted one.
 
-A folder is named after the stream (an id that lives with the checkpoint), the batch and the attempt. A
-batch counts once its entry in ``_commits`` names the folder, so readers never see half a batch; a
-repeated batch replaces its own entry, and a stream with a new checkpoint never touches another's.
+The log's version file names the last batch of each stream, so a repeated batch changes nothing. A stream is known by
+the id that Spark keeps in its checkpoint: with a new checkpoint, at the same path or another one, it is a new stream,
+which adds to the log and takes nothing away.
 """
 
 from __future__ import annotations
 
+import json
 import time
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -22,33 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tallybook.operators.changes import latest_per_key
-from tallybook.session import list_files, read_text, write_text
+from tallybook.session import read_text
+from tallybook.sinks.buckets import TieredLog
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id of the stream with this checkpoint, made at its first start."""
-    path = f"{checkpoint}-id"
-    known = read_text(spark, path)
-    if known is None:
-        known = uuid.uuid4().hex
-        write_text(spark, path, known)
-    return known
-
-
-def write_batch(batch: DataFrame, batch_id: int, log_path: str, stream: str = "batch") -> None:
-    """Write one batch and commit it, in place of an earlier attempt at the same batch."""
-    folder = f"stream={stream}/batch_id={batch_id}/attempt={uuid.uuid4().hex}"
-    batch.write.parquet(f"{log_path}/{folder}")
-    write_text(batch.sparkSession, f"{log_path}/_commits/{stream}.{batch_id}", folder)
-
-
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """All rows of the committed batches, with ``batch_id``."""
-    entries = list_files(spark, f"{log_path}/_commits")
-    folders = [f"{log_path}/{read_text(spark, entry)}" for entry in entries]
-    if not folders:
-        raise FileNotFoundError(f"no committed batch in {log_path}")
-    return spark.read.option("basePath", log_path).parquet(*folders).drop("stream", "attempt")
+    """The id of the query with this checkpoint; Spark writes it there before the first batch."""
+    text = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    if text is None:
+        raise FileNotFoundError(f"no query has started with the checkpoint {checkpoint}")
+    return json.loads(text)["id"]
 
 
 def _writer(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
@@ -59,24 +42,30 @@ def _writer(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: s
 
 def upsert_batches(versions: DataFrame, keys: list[str], order: list[str], log_path: str, checkpoint: str,
                    trigger: dict | None = None,
-                   publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                   publish: Callable[[DataFrame, int], None] | None = None, **log) -> StreamingQuery:
     """Stateless form: each batch logs the newest version of the keys it holds.
 
     ``publish(changed, batch_id)`` runs after every batch with the batch's newest rows, to refresh what
     is derived from the log for the keys it touched. It may run again for a repeated batch, so it should
-    replace or upsert, not append.
+    replace or upsert, not append. ``log``: settings of a new ``TieredLog``.
     """
-    stream = stream_id(versions.sparkSession, checkpoint)
-
     def sink(batch: DataFrame, batch_id: int) -> None:
         changed = latest_per_key(batch, keys, order)
-        write_batch(changed, batch_id, log_path, stream)
-        if publish:
-            publish(changed, batch_id)
+        _take(changed, batch_id, TieredLog(batch.sparkSession, log_path, keys, order, **log), checkpoint, publish)
 
     return _writer(versions, sink, checkpoint, trigger).start()
 
 
+def _take(changed: DataFrame, batch_id: int, log: TieredLog, checkpoint: str, publish: Callable | None) -> None:
+    changed.persist()
+    try:
+        log.add(changed, stream_id(log.spark, checkpoint), batch_id)
+        if publish:
+            publish(changed, batch_id)
+    finally:
+        changed.unpersist()
+
+
 def latest_state(versions: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Stateful form: newest version of each key so far, as a streaming aggregate."""
     rest = [c for c in versions.columns if c not in keys]
@@ -86,35 +75,25 @@ def latest_state(versions: DataFrame, keys: list[str], order: list[str]) -> Data
 
 def keep_latest(versions: DataFrame, keys: list[str], order: list[str], log_path: str, checkpoint: str,
                 trigger: dict | None = None,
-                publish: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                publish: Callable[[DataFrame, int], None] | None = None, **log) -> StreamingQuery:
     """Log the keys whose newest version changed in a batch; late events change nothing.
 
-    ``publish`` as in ``upsert_batches``.
+    ``publish`` and ``log`` as in ``upsert_batches``.
     """
-    stream = stream_id(versions.sparkSession, checkpoint)
-
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, log_path, stream)
-        if publish:
-            publish(batch, batch_id)
+        _take(batch, batch_id, TieredLog(batch.sparkSession, log_path, keys, order, **log), checkpoint, publish)
 
     return _writer(latest_state(versions, keys, order), sink, checkpoint, trigger) \
         .outputMode("update").start()
 
 
-def read_latest(spark: SparkSession, log_path: str, keys: list[str], order: list[str],
-                with_deleted: bool = False) -> DataFrame:
-    """Current rows of a change log folder."""
-    newest = latest_per_key(read_log(spark, log_path), keys, [*order, "batch_id"]).drop("batch_id")
-    return newest if with_deleted else newest.filter(~F.col("deleted")).drop("deleted")
-
-
-def compact(spark: SparkSession, log_path: str, new_path: str, keys: list[str], order: list[str]) -> None:
-    """Write the newest version of every key, deletes included, as the first batch of a new folder.
+def read_latest(spark: SparkSession, log_path: str, keys: list[str], order: list[str], with_deleted: bool = False,
+                touched: DataFrame | None = None) -> DataFrame:
+    """Current rows of a log; with ``touched`` only those of the buckets that its rows fall into are read.
 
-    Run it between queries, then go on writing to the new folder: its batches follow this one.
+    To get all rows of an entity that way, the log has to be made with ``bucket_by``, the entity's columns.
     """
-    write_batch(read_latest(spark, log_path, keys, order, with_deleted=True), -1, new_path, "compacted")
+    return TieredLog(spark, log_path, keys, order).newest(with_deleted, touched)
 
 
 def keep_running(start: Callable[[], StreamingQuery], restarts: int = 3, pause_seconds: float = 5.0) -> None:

@@ -10,15 +10,15 @@ from pyspark.sql import types as T
 from tallybook.operators.changes import flatten_changes, resolve_changes, versions
 from tallybook.plans import jobs
 from tallybook.schemas import MEASURES, kpi_schema, statement_schema
-from tallybook.session import (build_session, read_text, remove, scratch_dir, scratch_root, shuffle_partitions,
-                               write_text)
+from tallybook.session import (build_session, create_text, read_text, remove, scratch_dir, scratch_root,
+                               shuffle_partitions)
 from tallybook.sinks import jdbc
+from tallybook.sinks.buckets import TieredLog
 from tallybook.sinks.files import preview, read_csv, write_csv
 from tallybook.sinks.tables import append_table, create_table, replace_table
 from tallybook.sources.changes import cdc_source
 from tallybook.sources.jdbc import hash_predicates, jdbc_options, read_jdbc
-from tallybook.streaming.changelog import (compact, keep_latest, keep_running, read_latest, read_log,
-                                           upsert_batches, write_batch)
+from tallybook.streaming.changelog import keep_latest, keep_running, read_latest, stream_id, upsert_batches
 
 KEYS, ROW = ["date", "company_name"], statement_schema(["date", "company_name"])
 
@@ -205,12 +205,10 @@ def test_stream_equals_batch_for_any_split(spark, start, files):
         return sorted(tuple(r) for r in read_latest(spark, path, KEYS, ["ts_ms"]).select(*KEYS, "sales").collect())
 
     assert current(f"{base}/log") == expected
-    compact(spark, f"{base}/log", f"{base}/compacted", KEYS, ["ts_ms"])
-    assert current(f"{base}/compacted") == expected
     late = read_latest(spark, f"{base}/log", KEYS, ["ts_ms"], with_deleted=True) \
         .withColumns({"ts_ms": F.lit(-1).cast("long"), "sales": F.lit(0.0), "deleted": F.lit(False)})
-    write_batch(late, 99, f"{base}/compacted")
-    assert current(f"{base}/compacted") == expected, "late events change nothing, deleted keys stay deleted"
+    TieredLog(spark, f"{base}/log", KEYS, ["ts_ms"]).add(late, "late", 0)
+    assert current(f"{base}/log") == expected, "late events change nothing, deleted keys stay deleted"
 
 
 def test_kpis_are_published_after_every_batch(spark):
@@ -239,23 +237,40 @@ def test_kpis_are_published_after_every_batch(spark):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
 
 
+def _stream(spark, base, publish=None, checkpoint="checkpoint"):
+    source = cdc_source(spark, "text", {"path": f"{base}/in", "maxFilesPerTrigger": "1"}, streaming=True)
+    events = versions(flatten_changes(source, ROW, KEYS), KEYS, ["sales"], ["ts_ms"])
+    return upsert_batches(events, KEYS, ["ts_ms"], f"{base}/log", f"{base}/{checkpoint}", {"availableNow": True}, publish)
+
+
+def _keys(spark, base):
+    return sorted(r.company_name for r in read_latest(spark, f"{base}/log", KEYS, ["ts_ms"]).collect())
+
+
 def test_a_failing_query_is_started_again(spark):
-    base, failures = scratch_dir(spark, "restart"), []
-    frame(spark, _random_log(5, 20)).write.text(f"{base}/in")
-    source = cdc_source(spark, "text", {"path": f"{base}/in"}, streaming=True)
+    base, seen = scratch_dir(spark, "restart"), []
+    frame(spark, [envelope(statement("Mar 2014", k, 1.0), 1) for k in "abc"]).coalesce(1).write.text(f"{base}/in")
 
-    def sink(batch, batch_id):
-        if not failures:
-            failures.append(batch_id)
+    def publish(changed, batch_id):
+        seen.append((batch_id, changed.count()))
+        if len(seen) == 1:
             raise RuntimeError("first attempt fails")
-        write_batch(batch, batch_id, f"{base}/log", "s")
 
-    def start():
-        return source.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint") \
-            .trigger(availableNow=True).start()
+    keep_running(lambda: _stream(spark, base, publish), restarts=1, pause_seconds=0)
+    assert _keys(spark, base) == ["a", "b", "c"] and seen == [(0, 3), (0, 3)]
+    assert TieredLog(spark, f"{base}/log", KEYS, ["ts_ms"]).version().number == 0, "the repeated batch added nothing"
+
 
-    keep_running(start, restarts=1, pause_seconds=0)
-    assert read_log(spark, f"{base}/log").count() == 20 and failures == [0]
+def test_a_lost_checkpoint_loses_no_rows(spark):
+    base = scratch_dir(spark, "lost")
+    frame(spark, [envelope(statement("Mar 2014", k, 1.0), 1) for k in "ab"]).coalesce(1).write.text(f"{base}/in")
+    keep_running(lambda: _stream(spark, base))
+    first = stream_id(spark, f"{base}/checkpoint")
+    remove(spark, f"{base}/checkpoint")
+    remove(spark, f"{base}/in")
+    frame(spark, [envelope(statement("Mar 2014", "c", 1.0), 1)]).coalesce(1).write.text(f"{base}/in")
+    keep_running(lambda: _stream(spark, base))
+    assert _keys(spark, base) == ["a", "b", "c"] and stream_id(spark, f"{base}/checkpoint") != first
 
 
 def test_a_new_checkpoint_keeps_the_old_rows(spark):
@@ -269,16 +284,6 @@ def test_a_new_checkpoint_keeps_the_old_rows(spark):
     assert sorted(r.company_name for r in read_latest(spark, f"{base}/log", KEYS, ["ts_ms"]).collect()) == ["a", "b"]
 
 
-def test_an_unfinished_batch_is_not_read_and_a_repeated_one_replaces_itself(spark):
-    path = scratch_dir(spark, "commits")
-    rows = spark.createDataFrame([("a", 1, False)], "k string, t long, deleted boolean")
-    write_batch(rows, 0, path, "s")
-    rows.write.parquet(f"{path}/stream=s/batch_id=1/attempt=x")
-    assert read_log(spark, path).count() == 1
-    write_batch(rows.withColumn("k", F.lit("b")), 0, path, "s")
-    assert [r.k for r in read_log(spark, path).collect()] == ["b"]
-
-
 def test_only_failures_in_a_row_end_a_stream(monkeypatch):
     from pyspark.errors import StreamingQueryException
 
@@ -313,9 +318,8 @@ def test_scratch_folder(spark):
     assert scratch_root(Session) == "hdfs://warehouse/_scratch/x"
     path = scratch_dir(spark, "small")
     assert read_text(spark, path) is None
-    for text in ("one", "two é"):
-        write_text(spark, path, text)
-        assert read_text(spark, path) == text
+    assert create_text(spark, path, "one é") and not create_text(spark, path, "two")
+    assert read_text(spark, path) == "one é"
     remove(spark, path)
     assert read_text(spark, path) is None
 
