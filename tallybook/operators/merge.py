@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.operators.hot_keys import HotKeys
+
 
 def merge_snapshot(existing: DataFrame, incoming: DataFrame, keys: list[str], columns: list[str],
                    keep_existing: bool = False, distinct: bool = False) -> DataFrame:
@@ -35,21 +37,18 @@ def merge_changes(existing: DataFrame, resolved: DataFrame, keys: list[str], col
                                  for c in columns])
 
 
-def apply_deletes(df: DataFrame, deleted: DataFrame, keys: list[str], salts: int = 1) -> DataFrame:
+def apply_deletes(df: DataFrame, deleted: DataFrame, keys: list[str], hot: HotKeys | None = None) -> DataFrame:
     """Rows whose key is not among the deleted ones.
 
     ``keys`` may be part of the row key (a date deleted for every company); then one key value can
-    hold a large share of ``df``. ``salts`` spreads the rows of each key value over that many tasks,
-    by a hash of the whole row, and repeats the distinct deleted keys for each of them. (AQE does not
+    hold a large share of ``df``. ``hot``, measured on ``df`` (``HotKeys(df, keys)``), splits the rows of such values
+    over as many tasks as they fill and repeats the deleted key for each of them. (AQE does not
     split this join by itself, as the deleted side is an aggregate.)
     """
     gone = deleted.select(*keys).distinct()
-    if salts == 1:
+    if hot is None:
         return df.join(gone, on=keys, how="left_anti").select(*df.columns)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
-    gone = gone.withColumn("_salt", F.explode(every))
-    return salted.join(gone, on=[*keys, "_salt"], how="left_anti").select(*df.columns)
+    return hot.dealt(df).join(hot.repeated(gone), on=[*keys, "_piece"], how="left_anti").select(*df.columns)
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

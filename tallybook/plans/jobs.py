@@ -9,6 +9,7 @@ from tallybook.functions.times import period_start
 from tallybook.operators.bars import fiscal_year_bars
 from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_per_key, resolve_changes,
                                          upserts)
+from tallybook.operators.hot_keys import HotKeys
 from tallybook.operators.measures import (append_summary, complete_rows, summary_last, with_growth,
                                           with_ratios)
 from tallybook.operators.merge import apply_deletes, exclude_prefix, merge_changes, merge_snapshot
@@ -38,7 +39,8 @@ def merged_statements(envelopes: DataFrame, existing: DataFrame, keys: list[str]
         flat = materialise(flat, "flat-log")
         latest = latest_per_key(upserts(flat, keys), keys, by)
         merged = merge_snapshot(existing, latest, keys, MEASURES, keep_existing)
-        return apply_deletes(merged, deleted_keys(flat, keys), delete_keys, salts=8)
+        merged = materialise(merged, "merged")  # measured, then filtered
+        return apply_deletes(merged, deleted_keys(flat, keys), delete_keys, HotKeys(merged, delete_keys))
     resolved = resolve_changes(flat, keys, MEASURES, by, deletes)
     return merge_changes(existing, resolved, keys, MEASURES, keep_existing)
 

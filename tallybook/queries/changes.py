@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_per_key, resolve_changes,
                                          upserts)
+from tallybook.operators.hot_keys import HotKeys
 from tallybook.operators.merge import apply_deletes, exclude_prefix, merge_snapshot, upsert
 from tallybook.queries.inputs import (CUT_MS, EVENT_KEYS, EVENT_ROW, EVENTS_SQL, SOURCE_FIELDS,
                                       event_envelopes, events_with_time, table)
@@ -80,8 +81,17 @@ def apply_deletes_global(spark, sf_dir):
     """Deletes on part of the key: a delete in the log takes away all orders of its user."""
     keys_only = T.StructType([EVENT_ROW[k] for k in EVENT_KEYS])
     gone = deleted_keys(flat_events(spark, sf_dir, keys_only), EVENT_KEYS)
-    return apply_deletes(table(spark, sf_dir, "orders"), gone.withColumnRenamed("user_id", "o_custkey"),
-                         ["o_custkey"], salts=8)
+    orders = table(spark, sf_dir, "orders")
+    return apply_deletes(orders, gone.withColumnRenamed("user_id", "o_custkey"), ["o_custkey"], HotKeys(orders, ["o_custkey"]))
+
+
+def apply_deletes_skewed(spark, sf_dir):
+    """Deletes by company where company 0 holds a third of all line items."""
+    keys_only = T.StructType([EVENT_ROW[k] for k in EVENT_KEYS])
+    gone = deleted_keys(flat_events(spark, sf_dir, keys_only), EVENT_KEYS).withColumnRenamed("user_id", "company")
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "company", F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_partkey")))
+    return apply_deletes(lines, gone.where("company <> 0"), ["company"], HotKeys(lines, ["company"]))
 
 
 def prefix_filter(spark, sf_dir):
@@ -102,7 +112,7 @@ def upsert_snapshot(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     cdc_flatten, cdc_latest_single_key, cdc_latest_composite_key, cdc_deleted_keys, cdc_resolve_by_time,
     cdc_resolve_sticky, merge_incoming_wins, merge_incoming_wins_single_key, merge_keep_existing,
-    apply_deletes_global, upsert_snapshot)}
+    apply_deletes_global, apply_deletes_skewed, upsert_snapshot)}
 QUERIES.update({"apply_deletes": apply_deletes_composite, "exclude_prefix": prefix_filter})
 
 _FLAT = f"""{EVENTS_SQL},
@@ -151,6 +161,9 @@ SELECT user_id, k, event_type, value, ts_ms, lsn FROM l
 WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.gone AND ev.user_id = l.user_id AND ev.k = l.k)""",
     "apply_deletes_global": """
 SELECT * FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')""",
+    "apply_deletes_skewed": """
+WITH l AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END AS company FROM lineitem)
+SELECT * FROM l WHERE company = 0 OR company NOT IN (SELECT user_id FROM events WHERE event_type = 'error')""",
     "exclude_prefix": "SELECT * FROM part WHERE NOT starts_with(p_type, 'PROMO')",
     "upsert_snapshot": """
 SELECT c_custkey, c_name, c_nationkey,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_per_key, resolve_changes,
                                          upserts)
+from tallybook.operators.hot_keys import HotKeys, key_sketch, sketch_width
 from tallybook.operators.merge import (apply_deletes, exclude_prefix, merge_changes, merge_snapshot, upsert)
 from tallybook.schemas import statement_schema
 
@@ -141,21 +142,51 @@ def test_upsert_twice_is_upsert_once(spark):
     assert rows(upsert(once, incoming, ["k"]), "*") == rows(once, "*")
 
 
-def test_hot_delete_key_is_spread(spark):
-    """A third of the rows share one date: the salted anti-join spreads them and loses nothing."""
-    data = spark.range(60_000, numPartitions=6).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("date"), "id")
-    gone = spark.range(0, 60_000, 2).select(F.col("id").cast("string").alias("date"))
-    plain, salted = apply_deletes(data, gone, ["date"]), apply_deletes(data, gone, ["date"], salts=8)
-    assert salted.columns == data.columns
-    totals = [df.agg(F.count("*"), F.count_if(F.col("date") == "hot"), F.sum("id")).collect()[0]
-              for df in (plain, salted)]
-    assert totals[0] == totals[1] and totals[0][:2] == (40_000, 20_000)
+@pytest.fixture
+def no_broadcast(spark):
     hint = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        shuffled = apply_deletes(data, gone, ["date"], salts=8)._jdf.queryExecution().executedPlan().toString()
-        assert shuffled.count("hashpartitioning(date") == 3 and shuffled.count("_salt#") > 0
-        assert "SortMergeJoin [date" in shuffled
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", hint)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", hint)
+
+
+def skewed(spark, rows=60_000):
+    return spark.range(rows, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("date"), "id")
+
+
+def test_hot_delete_key_is_spread(spark, no_broadcast):
+    """A third of the rows share one date: it is found, its rows are spread, and nothing is lost."""
+    data = skewed(spark)
+    gone = spark.range(0, 60_000, 2).select(F.col("id").cast("string").alias("date"))
+    for deleted in (gone, gone.union(spark.sql("select 'hot'"))):
+        hot = HotKeys(data, ["date"], tasks=16)
+        plain, split = apply_deletes(data, deleted, ["date"]), apply_deletes(data, deleted, ["date"], hot)
+        assert split.columns == data.columns
+        totals = [df.agg(F.count("*"), F.count_if(F.col("date") == "hot"), F.sum("id")).collect()[0] for df in (plain, split)]
+        assert totals[0] == totals[1]
+    assert "_piece" in split._jdf.queryExecution().executedPlan().toString()
+    pieces = hot.with_pieces(data).groupBy("date").agg(F.max("_pieces").alias("n")).where("n > 1").collect()
+    assert [(r.date, 40 <= r.n <= 48) for r in pieces] == [("hot", True)]
+    sizes = hot.dealt(data).repartition(16, "date", "_piece").groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r[1] for r in sizes)
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+
+
+def test_sketch_is_never_below_the_count_and_has_a_bound(spark):
+    data = skewed(spark, 30_000)
+    width = sketch_width(4)
+    sketch = key_sketch(data, ["date"], width)
+    assert sketch.count() <= 3 * width == 192
+    halves = key_sketch(data.where("id < 9000"), ["date"], width).union(key_sketch(data.where("id >= 9000"), ["date"], width))
+    whole = {(r.line, r.cell): r.n for r in sketch.collect()}
+    assert whole == {(r.line, r.cell): r.n for r in halves.groupBy("line", "cell").agg(F.sum("n").alias("n")).collect()}
+    assert max(whole.values()) >= 10_000
+
+
+def test_hot_keys_of_an_empty_table_and_of_nulls(spark):
+    nothing = spark.createDataFrame([], "date string, id long")
+    assert apply_deletes(nothing, nothing, ["date"], HotKeys(nothing, ["date"])).count() == 0
+    data = spark.range(100).select(F.lit(None).cast("string").alias("date"), "id").union(spark.sql("select 'x', 1L"))
+    gone = spark.createDataFrame([(None,), ("x",)], "date string")
+    assert apply_deletes(data, gone, ["date"], HotKeys(data, ["date"])).count() == 100, "null equals nothing"
