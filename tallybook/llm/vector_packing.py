@@ -15,6 +15,8 @@ sequences again.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -25,37 +27,100 @@ from pyspark.sql import DataFrame
 
 from tallybook.llm.bpe import PieceTokenizer
 from tallybook.llm.textkit import spans
+from tallybook.llm.token_alignment import byte_values
 
 SEQUENCE_BITS = 33  # sequences of one partition; the number of the partition stands above them
 MOST_TOKENS = 1 << 22  # of waiting examples together; bounds memory where texts are long
-BLANK = np.zeros(128, bool)
-BLANK[[9, 10, 11, 12, 13, 32]] = True
+LAST_BYTE = b"\xff"  # stands for the end of a word: no UTF-8 text holds this byte
+BLANK, LETTER, DIGIT, MARK, ODD = range(5)
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9'|\\s\x00-\x1f\x7f-\U0010ffff]+")
+
+
+def character_classes() -> np.ndarray:
+    """Class of each code point below 256. ODD ones, and all above, may mean more than one word can tell."""
+    kinds = np.full(256, MARK, np.uint8)
+    kinds[[*range(32), *range(127, 192), 39, 124]] = ODD  # the apostrophe ends words early, the bar is in special tokens
+    kinds[[9, 10, 11, 12, 13, 32]] = BLANK
+    kinds[48:58] = DIGIT
+    kinds[[*range(65, 91), *range(97, 123), *range(192, 256)]] = LETTER
+    kinds[[0xD7, 0xF7]] = MARK
+    return kinds
 
 
 class WordTokenizer(PieceTokenizer):
-    """Ids by a tokenizer that drops white space: each distinct word is encoded once by the library.
+    """Ids by a tokenizer that folds case, drops white space and marks the ends of words.
 
-    A word (what stands between ASCII white space) is encoded alone as in its text: pieces never hold white space, and
-    neither normalisation nor the special tokens reach across it.
+    A run of letters, a digit or a run of marks of a word of plain characters is encoded alone as in its text; so is a
+    whole word with other characters, as normalisation, special tokens and pieces do not reach across white space. Each
+    distinct one is encoded once. Words with other characters go through the library itself, plain ones through the
+    same merges as byte ranks, with the end of the word as a last byte that is merged first.
     """
 
     def __init__(self, json_path: str):
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(json_path)
-        self.one = lambda word: self.exact.encode(word.decode(), add_special_tokens=False).ids
+        with open(json_path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        ranks, ids = self._ranks(model["vocab"], model["merges"], model["end_of_word_suffix"])
+        self.byte_pairs = Encoding("words", pat_str="", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.id_of = ids
+        self.kinds = character_classes()
         self.clear()
 
+    @staticmethod
+    def _ranks(vocab: dict[str, int], merges: list, suffix: str) -> tuple[dict[bytes, int], list[int]]:
+        """Byte ranks of the merges, and the id of each rank."""
+        value = byte_values()
+
+        def entry(text: str) -> bytes:
+            last = text.endswith(suffix)
+            return bytes(value[c] for c in (text.removesuffix(suffix))) + (LAST_BYTE if last else b"")
+
+        singles = [bytes([b]) for b in range(256)]
+        ranks = {x: i for i, x in enumerate([*singles, *[x + LAST_BYTE for x in singles[:-1]]])}
+        ids = [-1] * len(ranks)
+        for merge in merges:
+            left, right = merge if isinstance(merge, list) else merge.split(" ")
+            ranks[entry(left + right)] = len(ids)
+            ids.append(vocab[left + right])
+        for text, i in vocab.items():
+            if len(text.removesuffix(suffix)) == 1 and not entry(text).startswith(LAST_BYTE):
+                ids[ranks[entry(text)]] = i
+        return ranks, ids
+
+    def one(self, raw: bytes) -> list[int]:
+        text = raw.decode()
+        if PLAIN.fullmatch(text):
+            return [self.id_of[r] for r in self.byte_pairs(text.lower().encode() + LAST_BYTE)]
+        return self.exact.encode(text, add_special_tokens=False).ids
+
     def _encode_chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         offsets = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
-        starts, ends, text = spans((codes < 128) & BLANK[codes & 127], offsets)
+        kinds = self.kinds[np.minimum(codes, 255)]
+        kinds[codes > 255] = ODD
+        starts, ends, _ = spans(kinds == BLANK, offsets)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        source, size = self.places(joined, codes, starts, ends)
+        odd = np.diff(np.r_[0, np.cumsum(kinds == ODD)][np.stack([starts, ends])], axis=0)[0] > 0
+        whole = np.repeat(odd, ends - starts)  # of each character of a word
+        inside = np.flatnonzero(kinds != BLANK)
+        first = np.zeros(len(codes) + 1, bool)
+        first[starts] = True
+        before = np.r_[np.uint8(BLANK), kinds[:-1]]
+        first[inside] |= ~whole & ((kinds != before) | (kinds == DIGIT))[inside]
+        fold = np.zeros(len(codes), bool)
+        fold[inside] = ~whole & (kinds[inside] == LETTER)
+        upper = fold & (((codes >= 65) & (codes <= 90)) | ((codes >= 192) & (codes <= 222)))
+        begins = np.flatnonzero(first)
+        stops = np.minimum(np.r_[begins[1:], len(codes)], ends[np.searchsorted(starts, begins, side="right") - 1])
+        source, size = self.places(joined, codes + np.uint32(32) * upper, begins, stops)
         total = np.cumsum(size)
         ids = self.pool[np.repeat(source - total + size, size) + np.arange(total[-1])]
+        text = np.searchsorted(offsets, begins, side="right") - 1
         return ids, np.bincount(text, size, len(texts)).astype(np.int64)
 
 
