@@ -6,8 +6,8 @@ claim the character's end (A) or none but the last does (B). A token that closes
 the offset; the ends of the others are counted from the last coarse cut by the bytes that the tokens decode to. The
 decoded bytes of all tokens have to be the text itself, otherwise the text has no tokens.
 
-Tokenising is done once per distinct stretch: A within the vocabulary's own word pieces, B from blank to blank, as
-no piece of the model goes on over a blank after another character (checked when it is loaded).
+Tokenising is done once per distinct stretch: A within the vocabulary's own word pieces, B between characters that are
+neighbours in no piece of the model.
 
 Two tokens are linked if their byte ranges overlap; ends of A and B together cut a text into as many stretches as there
 are links. How often a pair of ids is linked in the whole corpus takes two passes: texts are aligned in blocks of
@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +32,12 @@ from tallybook.llm.bpe import UNKNOWN, PieceTokenizer, category_table
 from tallybook.llm.textkit import span_hashes
 from tallybook.session import scratch_dir
 
-SLOTS = 1 << 18  # the cache of stretches: a newer one takes the slot of an older one
-POOL = 1 << 21  # tokens kept for cached stretches; beyond it the cache starts anew. Both bound memory, not results
+SLOTS = 1 << 20  # the cache of stretches: a newer one takes the slot of an older one
+POOL = 1 << 22  # tokens kept for cached stretches; beyond it the cache starts anew. Both bound memory, not results
 CHUNK_CHARS = 1 << 17
 BLOCK_LINKS = 1 << 20  # links of one block; a longer text is a block by itself
 BLOCK_BITS = 33  # blocks of one partition; the number of the partition stands above them
+FENCE = "\x01"  # stands before a stretch that is given to B alone; no longer piece holds it
 LOW_LINE = "▁"  # what a piece of B has for a blank
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
@@ -42,7 +45,7 @@ COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 class Stretches:
     """Tokens (id, first, end: offsets from the stretch's start) of stretches of text, each distinct one encoded once.
 
-    ``encode(text, whole)`` gives the three lists; ``whole`` says that the stretch is a whole text.
+    ``encode(stretches)`` gives the three lists for each.
     """
 
     def __init__(self, encode: Callable):
@@ -52,7 +55,7 @@ class Stretches:
     def clear(self) -> None:
         self.keys = np.zeros(SLOTS, np.uint64)
         self.at, self.size = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
-        self.pool = np.empty((3, POOL + POOL // 4), np.int64)
+        self.pool = np.empty((3, POOL + POOL // 4), np.int32)
         self.used = 0
 
     def tokens(self, joined: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,20 +69,21 @@ class Stretches:
         if len(fresh):
             distinct, first, back = np.unique(keys[fresh], return_index=True, return_inverse=True)
             first = fresh[first]
-            got = [self.encode(joined[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+            got = self.encode([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
             new_size = np.fromiter((len(g[0]) for g in got), np.int64, len(got))
             new_at = self.used + np.cumsum(new_size) - new_size
             end = self.used + int(new_size.sum())
             if end > self.pool.shape[1]:
-                self.pool = np.concatenate([self.pool, np.empty((3, end - self.pool.shape[1] + POOL // 4), np.int64)], axis=1)
+                self.pool = np.concatenate([self.pool, np.empty((3, end - self.pool.shape[1] + POOL // 4), np.int32)], axis=1)
             for row in range(3):
-                self.pool[row, self.used:end] = [x for g in got for x in g[row]]
+                self.pool[row, self.used:end] = np.fromiter(chain.from_iterable(g[row] for g in got), np.int32, end - self.used)
             self.used = end
             at[fresh], size[fresh] = new_at[back], new_size[back]
             spot = slot[first]
             self.keys[spot], self.at[spot], self.size[spot] = distinct, new_at, new_size
         total = np.cumsum(size)
-        return self.pool[:, np.repeat(at - total + size, size) + np.arange(total[-1] if len(total) else 0)], size
+        where = np.repeat(at - total + size, size) + np.arange(total[-1] if len(total) else 0)
+        return self.pool[:, where].astype(np.int64), size
 
 
 def byte_values() -> dict[str, int]:
@@ -89,6 +93,16 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Spans:
+    """Ids and byte offsets of a proto of B, behind the fence."""
+
+    def __init__(self, proto):
+        pieces = proto.pieces
+        self.ids = [p.id for p in pieces]
+        self.first = [p.begin - 1 for p in pieces]
+        self.end = [p.end - 1 for p in pieces]
+
+
 class ByteLevelTokens:
     """Tokens of A over chunks of texts; offsets are characters."""
 
@@ -104,10 +118,12 @@ class ByteLevelTokens:
         self.kinds = category_table()
         self.cache = Stretches(self._encode)
 
-    def _encode(self, text: str) -> tuple[list, list, list]:
-        got = self.model.encode(text, add_special_tokens=False)
-        spans = got.offsets
-        return got.ids, [s for s, _ in spans], [e for _, e in spans]
+    def _encode(self, stretches: list[str]) -> list[tuple]:
+        found = []
+        for text in stretches:
+            got = self.model.encode(text, add_special_tokens=False)
+            found.append((got.ids, *zip(*got.offsets)))
+        return found
 
     def tokens(self, joined: str, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """(id, first, end) of all tokens, offsets within the chunk."""
@@ -132,35 +148,45 @@ class PieceTokens:
 
         self.model = SentencePieceProcessor(model_file=model_path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        special = [i for i in range(len(pieces)) if self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i)]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(LOW_LINE, " ").encode()
                       for i, p in enumerate(pieces)]
-        self.blank = self.model.piece_to_id(LOW_LINE)
-        self.apart = not any(LOW_LINE in p.lstrip(LOW_LINE) for p in pieces)
+        text = [p.replace(LOW_LINE, " ") for i, p in enumerate(pieces) if i not in set(special)]
+        # Neighbours in a piece, of characters below 256: between two others no piece goes on. So what stands on the two
+        # sides is encoded alike alone and together.
+        self.joins = np.zeros((257, 257), bool)
+        self.joins[256, :] = self.joins[:, 256] = True
+        for p in text:
+            for x, y in zip(p, p[1:]):
+                if ord(x) < 256 and ord(y) < 256:
+                    self.joins[ord(x), ord(y)] = True
+        if any(FENCE in p and p != FENCE for p in text) or len(self._encoded([""])[0].ids) != 2:
+            raise ValueError(f"{model_path} has longer pieces with the character U+0001")
         self.cache = Stretches(self._encode)
 
-    def _proto(self, text: str):
-        try:
-            return self.model.encode([text], out_type="immutable_proto", num_threads=1)[0]
-        except ValueError:  # newer releases of the library call it so
-            return self.model.encode([text], return_type="proto", num_threads=1)[0]
-
-    def _encode(self, text: str) -> tuple[list, list, list]:
-        """``text`` begins with a blank, which B adds by itself; alone it is no text to B."""
-        if text == " ":
-            return [self.blank], [0], [1]
-        rows = [(p.id, p.begin, p.end) for p in self._proto(text[1:]).pieces]
-        if len(rows):
-            rows[0] = (rows[0][0], -1, rows[0][2])  # the blank is the first one's
-        return [r[0] for r in rows], [r[1] + 1 for r in rows], [r[2] + 1 for r in rows]
+    @cached_property
+    def proto(self) -> dict:
+        """How this release of the library calls its immutable proto."""
+        for setting in ({"out_type": "immutable_proto"}, {"return_type": "proto"}):
+            try:
+                self.model.encode(["a"], num_threads=1, **setting)
+                return setting
+            except ValueError:
+                continue
+        raise RuntimeError("this release of sentencepiece gives no spans")
+
+    def _encoded(self, stretches: list[str]) -> list:
+        return [Spans(p) for p in self.model.encode([FENCE + t for t in stretches], num_threads=1, **self.proto)]
+
+    def _encode(self, stretches: list[str]) -> list[tuple]:
+        """A stretch follows a fence, so that B adds no blank to it; the tokens of that blank and the fence are left out."""
+        return [(g.ids[2:], g.first[2:], g.end[2:]) for g in self._encoded(stretches)]
 
     def tokens(self, joined: str, codes: np.ndarray, offsets: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
         """(id, first, end) of all tokens; ``places``: the byte at which each character begins."""
-        begins = np.zeros(len(codes) + 1, bool)
-        begins[offsets] = True
-        blank = codes == 32
-        cuts = begins[:-1].copy()
-        if self.apart:
-            cuts |= blank & ~np.r_[False, blank[:-1]]
+        low = np.minimum(codes, 256)
+        cuts = np.r_[np.zeros(min(1, len(codes)), bool), ~self.joins[low[:-1], low[1:]]]
+        cuts[offsets[:-1]] = True
         starts = np.flatnonzero(cuts)
         (ids, first, end), size = self.cache.tokens(joined, codes, starts, np.r_[starts[1:], len(codes)])
         base = np.repeat(places[starts], size)
