@@ -38,10 +38,26 @@ def normalise_label(label: Column) -> Column:
     return strip(name)
 
 
+COMMON_NAMES = ["amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;"]
+
+
 def _map(entries: dict) -> Column:
     return F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in entries.items())), F.lit("\x02"), F.lit("\x01"))
 
 
+def _named_reference(name: Column) -> Column:
+    """The text of a named reference, null if there is none. A map is searched entry by entry, so there is one per
+    first letter, behind the names that pages mostly use."""
+    found = F
+    for common in COMMON_NAMES:
+        found = found.when(name == common, F.lit(html5[common]))
+    names = {k: v for k, v in html5.items() if k.endswith(";")}
+    first = F.substring(name, 1, 1)
+    for letter in sorted({k[0] for k in names}):
+        found = found.when(first == letter, F.try_element_at(_map({k: v for k, v in names.items() if k[0] == letter}), name))
+    return found
+
+
 def _decode_leading_reference(piece: Column) -> Column:
     digits = F.ltrim(F.regexp_extract(piece, NUMERIC, 2), F.lit("0"))
     hexes = F.ltrim(F.regexp_extract(piece, NUMERIC, 1), F.lit("0"))
@@ -51,7 +67,7 @@ def _decode_leading_reference(piece: Column) -> Column:
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     plain = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
     numeric = F.coalesce(F.try_element_at(_map(WINDOWS), code.cast("string")), plain)
-    named = F.try_element_at(_map({k: v for k, v in html5.items() if k.endswith(";")}), F.regexp_extract(piece, NAMED, 1))
+    named = _named_reference(F.regexp_extract(piece, NAMED, 1))
     bare = F.try_element_at(_map({k: html5[k] for k in BARE_NAMES}), F.regexp_extract(piece, BARE, 1))
 
     def rest(pattern: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.operators.hot_keys import HotKeys
+from tallybook.operators.keys import require_unique
 
 
 def merge_snapshot(existing: DataFrame, incoming: DataFrame, keys: list[str], columns: list[str],
@@ -54,10 +55,11 @@ def apply_deletes(df: DataFrame, deleted: DataFrame, keys: list[str], hot: HotKe
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows replace target rows of the same key, nulls included; new keys are added.
 
-    One row per key on the incoming side; each side is read once.
+    A key that the incoming side repeats, or that holds a null, fails the job (``split_repeated`` sets such rows
+    aside beforehand). Each side is read once; the check uses the join's own partitions.
     """
     rest = [c for c in target.columns if c not in keys]
-    new = incoming.select(*keys, F.struct(*rest, F.lit(True).alias("_")).alias("_new"))
+    new = require_unique(incoming, keys).select(*keys, F.struct(*rest, F.lit(True).alias("_")).alias("_new"))
     old = target.select(*keys, F.struct(*rest).alias("_old"))
     newer = F.col("_new").isNotNull()
     return old.join(new, on=keys, how="full").select(*[

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallybook.functions.times import period_start
@@ -13,10 +13,11 @@ from tallybook.operators.hot_keys import HotKeys
 from tallybook.operators.measures import (append_summary, complete_rows, summary_last, with_growth,
                                           with_ratios)
 from tallybook.operators.merge import apply_deletes, exclude_prefix, merge_changes, merge_snapshot
+from tallybook.operators.notices import page_notices, watch_changes
 from tallybook.operators.statements import clean_cells, pivot_cells
 from tallybook.schemas import MEASURES, SUMMARY_LABEL, TRAILING_LABEL, statement_schema
 from tallybook.session import materialise
-from tallybook.sources.pages import page_tables, table_cells
+from tallybook.sources.pages import page_rows, page_tables, table_cells
 
 MULTI_KEYS = ["date", "company_name"]
 LAST_DAY = "9999-12-31"  # stands in for periods that name no month
@@ -24,17 +25,19 @@ LAST_DAY = "9999-12-31"  # stands in for periods that name no month
 
 def merged_statements(envelopes: DataFrame, existing: DataFrame, keys: list[str], keep_existing: bool,
                       deletes: str = "by_time", source_fields: list[str] | None = None,
-                      order: list[str] | None = None, delete_keys: list[str] | None = None) -> DataFrame:
+                      order: list[str] | None = None, delete_keys: list[str] | None = None,
+                      notices: Observation | str | None = None) -> DataFrame:
     """Newest statements of a change log over an existing snapshot, deletes applied.
 
     ``order`` lists what decides between events of one key: source fields and columns that come with
     the envelopes, such as the offset; by default the source fields, then the offset if there is one.
     With ``delete_keys``, part of the keys, every delete in the log takes away all rows that agree with
-    it on those, old and new (the log is then parsed once into the shared folder).
+    it on those, old and new (the log is then parsed once into the shared folder). ``notices`` counts upserts, deletes
+    and messages that are neither.
     """
     sources = source_fields or ["ts_ms"]
     by = order or [*sources, *[c for c in ("offset",) if c in envelopes.columns]]
-    flat = flatten_changes(envelopes, statement_schema(keys), keys, sources)
+    flat = watch_changes(flatten_changes(envelopes, statement_schema(keys), keys, sources), keys, notices)
     if delete_keys:
         flat = materialise(flat, "flat-log")
         latest = latest_per_key(upserts(flat, keys), keys, by)
@@ -98,22 +101,36 @@ def statement_kpis(envelopes: DataFrame, existing: DataFrame, growth_order: str
     return with_kpis(merged, growth_order, split_companies)
 
 
-def statement_cells(pages: DataFrame, section_id: str, company: str = "company_name") -> DataFrame:
+def statement_cells(pages: DataFrame, section_id: str, company: str = "company_name",
+                    notices: Observation | str | None = None) -> DataFrame:
     """All cells of the statement tables, long: company, date, col_no, row_no, label, value.
 
-    Needs no list of line items, however many the pages have.
+    Needs no list of line items, however many the pages have. ``notices`` counts rows of another width.
     """
-    cells = clean_cells(table_cells(page_tables(pages, [company], section_id), [company]), [company])
+    cells = clean_cells(table_cells(page_tables(pages, [company], section_id, notices=notices), [company]), [company])
     return cells.select(company, F.col("period").alias("date"), "col_no", "row_no", "label", "value")
 
 
-def load_statements(pages: DataFrame, section_id: str, labels: list[str],
-                    company: str = "company_name") -> DataFrame:
+def load_statements(pages: DataFrame, section_id: str, labels: list[str], company: str = "company_name",
+                    notices: Observation | str | None = None) -> DataFrame:
     """Statement tables of all pages as one table: a row per company and period, a column per wanted label."""
-    cells = statement_cells(pages, section_id, company).withColumnRenamed("date", "period")
+    cells = statement_cells(pages, section_id, company, notices).withColumnRenamed("date", "period")
     return pivot_cells(cells, [company], labels).fillna(0, subset=labels)
 
 
+def load_with_notices(pages: DataFrame, section_id: str, labels: list[str],
+                      company: str = "company_name") -> tuple[DataFrame, DataFrame]:
+    """The statement tables, and per company what was left out: rows of another width, cells that are no number.
+
+    The pages are parsed once; both come from the rows written then. Companies whose pages have no such table have 0 rows.
+    """
+    names = pages.select(company).distinct()
+    rows = materialise(page_rows(pages, [company], section_id), "table-rows")
+    cells = clean_cells(table_cells(rows.where("fits").drop("fits"), [company]), [company])
+    notices = names.join(page_notices(rows, [company]), company, "left").fillna(0)
+    return pivot_cells(cells, [company], labels).fillna(0, subset=labels), notices
+
+
 def load_bars(bars: DataFrame, start_year: int | None = None, end_year: int | None = None,
               names: DataFrame | None = None, **settings) -> DataFrame:
     """Fiscal-year bars of all companies, of all years unless a range is given.

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.operators.changes import (deleted_keys, flatten_changes, latest_per_key, resolve_changes,
                                          upserts)
 from tallybook.operators.hot_keys import HotKeys
+from tallybook.operators.keys import split_repeated
 from tallybook.operators.merge import apply_deletes, exclude_prefix, merge_snapshot, upsert
 from tallybook.queries.inputs import (CUT_MS, EVENT_KEYS, EVENT_ROW, EVENTS_SQL, SOURCE_FIELDS,
                                       event_envelopes, events_with_time, table)
-from tallybook.session import materialise
+from tallybook.session import materialise, scratch_dir
+from tallybook.sinks.bucketed import merge_bucketed, write_bucketed
 
 PAYLOAD = ["event_type", "value"]
 
@@ -109,11 +113,32 @@ def upsert_snapshot(spark, sf_dir):
     return upsert(customer, changed.unionByName(added), ["c_custkey"])
 
 
+def merge_bucketed_snapshot(spark, sf_dir):
+    """The older events at rest in a bucketed table, the newer ones merged into it with their deletes."""
+    flat = flat_events(spark, sf_dir)
+    name = f"event_snapshot_{uuid.uuid4().hex}"
+    older = resolve_changes(flat.where(F.col("ts_ms") < CUT_MS), EVENT_KEYS, PAYLOAD, SOURCE_FIELDS)
+    write_bucketed(older.where("not deleted").drop("deleted"), name, EVENT_KEYS, 16, scratch_dir(spark, "bucketed"))
+    newer = resolve_changes(flat.where(F.col("ts_ms") >= CUT_MS), EVENT_KEYS, PAYLOAD, SOURCE_FIELDS)
+    return merge_bucketed(name, newer, EVENT_KEYS, PAYLOAD)
+
+
+def key_quarantine(spark, sf_dir):
+    """An upsert whose incoming side repeats some keys: those rows are set aside, the others go in."""
+    customer = table(spark, sf_dir, "customer")
+    incoming = customer.where("c_mktsegment = 'BUILDING'").unionByName(customer.where("c_custkey % 7 = 0")) \
+        .withColumn("c_acctbal", F.lit(0.0))
+    clean, aside = split_repeated(incoming, ["c_custkey"])
+    return upsert(customer, clean, ["c_custkey"]).withColumn("set_aside", F.lit(False)) \
+        .unionByName(aside.withColumn("set_aside", F.lit(True)))
+
+
 QUERIES = {f.__name__: f for f in (
     cdc_flatten, cdc_latest_single_key, cdc_latest_composite_key, cdc_deleted_keys, cdc_resolve_by_time,
     cdc_resolve_sticky, merge_incoming_wins, merge_incoming_wins_single_key, merge_keep_existing,
-    apply_deletes_global, apply_deletes_skewed, upsert_snapshot)}
-QUERIES.update({"apply_deletes": apply_deletes_composite, "exclude_prefix": prefix_filter})
+    apply_deletes_global, apply_deletes_skewed, upsert_snapshot, key_quarantine)}
+QUERIES.update({"apply_deletes": apply_deletes_composite, "exclude_prefix": prefix_filter,
+                "merge_bucketed": merge_bucketed_snapshot})
 
 _FLAT = f"""{EVENTS_SQL},
 flat AS (SELECT CASE WHEN NOT gone THEN user_id END AS user_id, CASE WHEN NOT gone THEN k END AS k,
@@ -165,6 +190,18 @@ SELECT * FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE ev
 WITH l AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END AS company FROM lineitem)
 SELECT * FROM l WHERE company = 0 OR company NOT IN (SELECT user_id FROM events WHERE event_type = 'error')""",
     "exclude_prefix": "SELECT * FROM part WHERE NOT starts_with(p_type, 'PROMO')",
+    "merge_bucketed": f"""WITH {EVENTS_SQL},
+o AS (SELECT * FROM ({_latest('ev', 'user_id, k', f'ts_ms < {CUT_MS}')}) WHERE NOT gone),
+n AS ({_latest('ev', 'user_id, k', f'ts_ms >= {CUT_MS}')})
+SELECT coalesce(n.user_id, o.user_id) AS user_id, coalesce(n.k, o.k) AS k, coalesce(n.event_type, o.event_type) AS event_type,
+       coalesce(n.value, o.value) AS value
+FROM n FULL JOIN o ON n.user_id = o.user_id AND n.k = o.k WHERE NOT coalesce(n.gone, FALSE)""",
+    "key_quarantine": """
+WITH i AS (SELECT *, c_mktsegment = 'BUILDING' AS one, c_custkey % 7 = 0 AS two FROM customer)
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN one <> two THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal, c_mktsegment,
+       FALSE AS set_aside FROM i
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, 0.0, c_mktsegment, TRUE FROM i, (VALUES (1), (2)) WHERE one AND two""",
     "upsert_snapshot": """
 SELECT c_custkey, c_name, c_nationkey,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal, c_mktsegment

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallybook.operators.statements import transpose, union_statements
-from tallybook.plans.jobs import load_statements, statement_cells
+from tallybook.plans.jobs import load_statements, load_with_notices, statement_cells
 from tallybook.queries.inputs import hundredths, table
+from tallybook.sources.nested import page_elements
 from tallybook.sources.pages import page_items, page_tables, table_cells, wide_rows
 
 #: The fiscal years and calendar years of the line items and orders.
 YEARS = list(range(1995, 2003))
-LABELS = {"profit-loss": ["sales", "sales_2", "units", "lines_percent", "tax_&_other", "unnamed", "unnamed_2"],
+LABELS = {"profit-loss": ["sales", "sales_2", "sales_3", "units", "lines_percent", "tax_&_other", "unnamed", "unnamed_2"],
           "balance-sheet": ["total_assets", "debt_₹"]}
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -51,6 +52,7 @@ def statement_pages(spark, sf_dir):
         *_row("Tax &amp Other", years, lambda y: F.lit(""), again),
         *_row("Sales", years, lambda y: F.lit("&#0000000000049;&eacute;"), again),
         *_row("", years, lambda y: F.lit("2"), again), *_row(" ", years, lambda y: F.lit("3"), again),
+        *_row("Sales 2", years, lambda y: F.lit("n/a"), "<td>4</td>"),
         F.lit("<tr><td>short</td></tr>")]
     balance = [*_row("Total Assets", years, money_text("units")),
                *_row("Debt &#8377;", years, lambda y: F.concat(F.lit("-"), y["lines"].cast("string")))]
@@ -72,7 +74,7 @@ def html_table_rows(spark, sf_dir):
 
 def html_wide_rows(spark, sf_dir):
     tables = page_tables(statement_pages(spark, sf_dir), ["company_name"], "balance-sheet")
-    return wide_rows(tables, ["company_name"], [f"Mar {y}" for y in YEARS])
+    return wide_rows(tables, ["company_name"], [f"Mar {y}" for y in YEARS], strict=True)
 
 
 def html_statement_load(spark, sf_dir):
@@ -88,11 +90,52 @@ def html_balance_sheet_load(spark, sf_dir):
     return load_statements(statement_pages(spark, sf_dir), "balance-sheet", LABELS["balance-sheet"])
 
 
+def load_notices(spark, sf_dir):
+    """Per company what the load of the profit tables left out."""
+    return load_with_notices(statement_pages(spark, sf_dir), "profit-loss", LABELS["profit-loss"])[1]
+
+
+def nested_pages(spark, sf_dir):
+    """A page per region: a table with the nations' suppliers in tables in its cells, and a list with lists in its items."""
+    supplier = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
+        F.sort_array(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("suppliers"))
+    nation = table(spark, sf_dir, "nation").join(supplier, "n_nationkey", "left").groupBy("n_regionkey").agg(
+        F.sort_array(F.collect_list(F.struct("n_name", F.coalesce("suppliers", F.array()).alias("s")))).alias("nations"))
+    row = "concat('<tr><td>', s.s_suppkey, '</td><td>', s.s_name, '</td></tr>')"
+    cell = f"concat('<tr><td>', n.n_name, '<table>', array_join(transform(n.s, s -> {row}), ''), '</table> &amp; after</td><td>x')"
+    item = ("concat('<li>', n.n_name, '<ul><li>', array_join(transform(n.s, s -> s.s_name), '<li>'), '</ul> <b>after</b>')")
+    html = F.concat(F.lit("<html><body><p>before</p><table><tr><th>Nation<th>X"), F.expr(f"array_join(transform(nations, n -> {cell}), '')"),
+                    F.lit("</table><ol>"), F.expr(f"array_join(transform(nations, n -> {item}), '')"), F.lit("</ol></body></html>"))
+    return nation.select("n_regionkey", html.alias("html"))
+
+
+def html_nested(spark, sf_dir):
+    """Cells and items with their depth, place, own text, and the text of the cell or item that they stand in."""
+    found = page_elements(nested_pages(spark, sf_dir), ["n_regionkey"]).where("kind in ('cell', 'item', 'row', 'table', 'list')")
+    up = found.select("n_regionkey", F.col("element_no").alias("parent_no"), F.col("parent_no").alias("next_no"), "kind", "text")
+    # An item stands in a list in an item; a cell in a row in a table in a cell.
+    link = {"item": 2, "cell": 3}
+    parts = []
+    for kind, steps in link.items():
+        part = found.where(F.col("kind") == kind).select("n_regionkey", "kind", "depth", "position", "text", "parent_no")
+        for step in range(steps):
+            above = up.select("n_regionkey", "parent_no", F.col("next_no").alias("_next"), F.col("text").alias("inside"))
+            part = part.drop("inside").join(above, ["n_regionkey", "parent_no"], "left").drop("parent_no") \
+                .withColumnRenamed("_next", "parent_no")
+        parts.append(part.drop("parent_no"))
+    return parts[0].unionByName(parts[1])
+
+
+def _known_year(year):
+    """The year, which has to be one that the result has a column for."""
+    return F.when(year.isin(YEARS), year).otherwise(F.raise_error(F.concat(F.lit("no column for "), year.cast("string"))).cast("int"))
+
+
 def transpose_statement(spark, sf_dir):
     """Order values per nation, a row per priority and a text column per year, transposed and cleaned."""
     priority = F.concat(F.col("o_orderpriority"), F.lit(" Orders %"))
     totals = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority",
-                                                    F.year("o_orderdate").alias("year")) \
+                                                    _known_year(F.year("o_orderdate")).alias("year")) \
         .agg(F.sum(hundredths("o_totalprice")).alias("total"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     cells = [F.concat(F.format_number(F.sum(F.when(F.col("year") == y, F.col("total"))) / 100, 2), F.lit("%"))
@@ -110,7 +153,7 @@ def union_schema_drift(spark, sf_dir):
     return union_statements([customers, suppliers])
 
 
-QUERIES = {f.__name__: f for f in (html_list_items, html_table_rows, html_wide_rows, html_statement_load, html_statement_cells,
+QUERIES = {f.__name__: f for f in (html_list_items, html_table_rows, html_wide_rows, html_statement_load, html_statement_cells, load_notices, html_nested,
                                    html_balance_sheet_load, transpose_statement, union_schema_drift)}
 
 _SUMS = """s AS (
@@ -123,16 +166,16 @@ _TEXT = "format('{{:,.2f}}', CAST({} AS DOUBLE))".format
 _CELLS = f"""shown AS (
 SELECT 'company-' || l_suppkey AS company_name, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY year) AS INTEGER) AS col_no,
        'Mar ' || year AS period, {_TEXT('sales')} AS v1, {_TEXT('units')} AS v2, lines || '%' AS v3, '' AS v4, '1é' AS v5,
-       '2' AS v6, '3' AS v7 FROM s
+       '2' AS v6, '3' AS v7, 'n/a' AS v8 FROM s
 UNION ALL
-SELECT 'company-' || l_suppkey, CAST(count(*) + 1 AS INTEGER), 'Mar 2001', '7', '7', '7', '7', '7', '7', '7'
+SELECT 'company-' || l_suppkey, CAST(count(*) + 1 AS INTEGER), 'Mar 2001', '7', '7', '7', '7', '7', '7', '7', '4'
 FROM s GROUP BY l_suppkey),
 cells AS (SELECT company_name, CAST(row_no AS INTEGER) AS row_no, col_no, label, period,
-       CASE row_no WHEN 1 THEN v1 WHEN 2 THEN v2 WHEN 3 THEN v3 WHEN 4 THEN v4 WHEN 5 THEN v5 WHEN 6 THEN v6 ELSE v7 END AS value
-FROM shown, (VALUES (1, 'Sales+'), (2, 'Units'), (3, 'Lines %'), (4, 'Tax & Other'), (5, 'Sales'), (6, ''), (7, '')) r(row_no, label)),
+       CASE row_no WHEN 1 THEN v1 WHEN 2 THEN v2 WHEN 3 THEN v3 WHEN 4 THEN v4 WHEN 5 THEN v5 WHEN 6 THEN v6 WHEN 7 THEN v7 ELSE v8 END AS value
+FROM shown, (VALUES (1, 'Sales+'), (2, 'Units'), (3, 'Lines %'), (4, 'Tax & Other'), (5, 'Sales'), (6, ''), (7, ''), (8, 'Sales 2')) r(row_no, label)),
 named AS (SELECT company_name, row_no, col_no, period, TRY_CAST(replace(replace(value, ',', ''), '%', '') AS DOUBLE) AS number,
        CASE row_no WHEN 1 THEN 'sales' WHEN 2 THEN 'units' WHEN 3 THEN 'lines_percent' WHEN 4 THEN 'tax_&_other'
-                   WHEN 5 THEN 'sales_2' WHEN 6 THEN 'unnamed' ELSE 'unnamed_2' END AS name FROM cells)"""
+                   WHEN 5 THEN 'sales_3' WHEN 6 THEN 'unnamed' WHEN 7 THEN 'unnamed_2' ELSE 'sales_2' END AS name FROM cells)"""
 _LABELS = [p.lower().replace(" ", "_") + "_orders_percent" for p in PRIORITIES]
 _PRIORITY_SUMS = ",\n".join(
     f"""coalesce(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (o_orderpriority = '{p}') AS DOUBLE), 0)
@@ -167,6 +210,24 @@ SELECT period AS date, {', '.join(f"""coalesce(max(number) FILTER (name = '{x}')
        company_name FROM named GROUP BY company_name, col_no, period""",
     "html_statement_cells": f"""WITH {_SUMS}, {_CELLS}
 SELECT company_name, period AS date, col_no, row_no, name AS label, number AS value FROM named""",
+    "load_notices": f"""WITH {_SUMS}, {_CELLS}
+SELECT company_name, CAST(9 AS BIGINT) AS table_rows, CAST(1 AS BIGINT) AS other_width,
+       count(*) FILTER (value <> '' AND number IS NULL) AS no_number
+FROM (SELECT c.company_name, c.value, TRY_CAST(replace(replace(c.value, ',', ''), '%', '') AS DOUBLE) AS number FROM cells c)
+GROUP BY company_name""",
+    "html_nested": """
+WITH n AS (SELECT n_regionkey, n_nationkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) AS place FROM nation),
+s AS (SELECT n.*, s_suppkey, s_name, row_number() OVER (PARTITION BY n_nationkey ORDER BY s_suppkey) AS nth
+      FROM n JOIN supplier ON s_nationkey = n_nationkey),
+all_rows AS (
+SELECT n_regionkey, 'cell' AS kind, 1 AS depth, 1 AS position, n_name || '  & after' AS text, NULL AS inside FROM n
+UNION ALL SELECT n_regionkey, 'cell', 1, 2, 'x', NULL FROM n
+UNION ALL SELECT n_regionkey, 'cell', 2, 1, s_suppkey::VARCHAR, n_name || '  & after' FROM s
+UNION ALL SELECT n_regionkey, 'cell', 2, 2, s_name, n_name || '  & after' FROM s
+UNION ALL SELECT n_regionkey, 'item', 1, place, n_name || '  after', NULL FROM n
+UNION ALL SELECT n_regionkey, 'item', 2, nth, s_name, n_name || '  after' FROM s
+UNION ALL SELECT n_regionkey, 'item', 2, 1, '', n_name || '  after' FROM n WHERE n_nationkey NOT IN (SELECT n_nationkey FROM s))
+SELECT n_regionkey, kind, CAST(depth AS INTEGER) AS depth, CAST(position AS INTEGER) AS position, text, inside FROM all_rows""",
     "html_balance_sheet_load": f"""WITH {_SUMS}
 SELECT 'Mar ' || year AS date, CAST(units AS DOUBLE) AS total_assets, CAST(-lines AS DOUBLE) AS "debt_₹",
        'company-' || l_suppkey AS company_name FROM s""",

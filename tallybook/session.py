@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
@@ -64,25 +65,26 @@ def clear_scratch(spark: SparkSession) -> None:
     remove(spark, scratch_root(spark))
 
 
-def _file(spark: SparkSession, path: str):
+def file_at(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    files, place = _file(spark, path)
+    files, place = file_at(spark, path)
     files.delete(place, True)
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small file unless there is one; False if there is. A file is never written over."""
-    files, place = _file(spark, path)
+    files, place = file_at(spark, path)
     if files.exists(place):
         return False
     try:
         out = files.create(place, False)
-    except Py4JJavaError as error:
-        if "FileAlreadyExists" in str(error.java_exception.getClass().getName()):
+    except (Py4JJavaError, PySparkException) as error:
+        if "FileAlreadyExists" in f"{type(error).__name__} {error}":
             return False
         raise
     out.write(bytearray(text.encode()))
@@ -92,7 +94,7 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of a small file, or None if there is none."""
-    files, place = _file(spark, path)
+    files, place = file_at(spark, path)
     if not files.exists(place):
         return None
     stream = files.open(place)
@@ -103,13 +105,13 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 def modified(spark: SparkSession, path: str) -> int:
     """When a file or folder was last changed, in milliseconds."""
-    files, place = _file(spark, path)
+    files, place = file_at(spark, path)
     return files.getFileStatus(place).getModificationTime()
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
     """What is in a folder, by name, without hidden files."""
-    files, place = _file(spark, folder)
+    files, place = file_at(spark, folder)
     if not files.exists(place):
         return []
     return sorted(f"{folder}/{n}" for n in (s.getPath().getName() for s in files.listStatus(place)) if n[0] not in "._")
