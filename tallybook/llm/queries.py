@@ -55,7 +55,7 @@ def op3_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return checked.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                           text_of("hashes").alias("fingerprint"), text_of("edited_hashes").alias("edited_fingerprint"),
-                          "near_edited", "near_next")
+                          "near_edited", "near_next", "positions")
 
 
 @query

@@ -312,7 +312,7 @@ def align_blocks(docs: DataFrame, json_path: str, model_path: str, id_column: st
     """The first pass: a row for each text and one for each distinct pair of ids of its block.
 
     Text rows hold the counts, the hash of the groups and ``links``: the places in the block's list of pairs, as
-    little-endian unsigned 32-bit numbers. Pair rows hold the place, the two ids and their links in the block.
+    little-endian unsigned numbers of 16 bits, or of 32 where the list is longer. Pair rows hold the place, the two ids and their links in the block.
     """
     schema = PARTS.format(id=f"`{id_column}`", type=docs.schema[id_column].dataType.simpleString())
 
@@ -328,7 +328,7 @@ def align_blocks(docs: DataFrame, json_path: str, model_path: str, id_column: st
             nonlocal block, row, links, texts, pairs
             distinct, where, n = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
             ends = np.cumsum([t[4] for t in texts])
-            where = where.astype("<u4")
+            where = where.astype("<u2" if len(distinct) <= 1 << 16 else "<u4")
             own = [where[e - t[4]:e].tobytes() for t, e in zip(texts, ends.tolist())]
             number = pa.array(np.full(len(texts), base + block), pa.int64())
             columns = [number, pa.array(range(row, row + len(texts)), pa.int64()), pa.array([t[0] for t in texts], kinds),
@@ -402,7 +402,8 @@ def align_tokens(docs: DataFrame, json_path: str, model_path: str, id_column: st
         count, best = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
         place = found.column("place").to_numpy()
         count[place], best[place] = found.column("n").to_numpy(), found.column("best").to_numpy()
-        own = [np.frombuffer(links, "<u4") for links in rows.column("links").to_pylist()]
+        sizes = zip(rows.column("links").to_pylist(), rows.column("n_links").to_pylist())
+        own = [np.frombuffer(links, "<u2" if len(links) == 2 * n else "<u4") for links, n in sizes]
         rows = rows.append_column("n_best", pa.array([int(best[w].sum()) for w in own], pa.int64()))
         return rows.append_column("count_sum", pa.array([int(count[w].sum()) for w in own], pa.int64())).select(kept)
 

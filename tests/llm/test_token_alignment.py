@@ -141,3 +141,13 @@ def test_query_equals_brute_force(spark, plain):
     whole = queries.op12_token_alignment(spark, folder).collect()
     assert len(whole) == len(docs) and {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.groups_sha256) for r in whole if r.doc_id in dict(short)} \
         == {w[0]: (*w[1:5], w[7]) for w in want}
+
+
+def test_a_block_with_more_pairs_than_sixteen_bits_count(spark, plain):
+    """Many different words in one block: places take 32 bits there."""
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, 9))) for _ in range(60_000)]
+    docs = spark.createDataFrame([(i, " ".join(words[i::40])) for i in range(40)], "doc_id long, text string").coalesce(1)
+    wide = {r.doc_id: tuple(r) for r in align_tokens(docs, BYTES, PIECES).collect()}
+    narrow = {r.doc_id: tuple(r) for r in align_tokens(docs, BYTES, PIECES, block_links=2000).collect()}
+    assert wide == narrow and len(wide) == 40

@@ -14,8 +14,11 @@ from tallybook.llm.winnowing import BASE, PRIME, edit_check, fingerprints
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def plain(text, k=4, w=8, unit=4):
-    units = re.findall(r"[^\x20\x09-\x0D]{1,%d}" % unit, text or "")
+BLANK, CUTS = r"\x20\x09-\x0D", "eAEQW05/_еоαאاाา\u3000-\U0010FFFF"
+
+
+def plain(text, k=4, w=8, unit=8):
+    units = re.findall(f"[^{BLANK}{CUTS}]{{0,{unit - 1}}}[^{BLANK}]", text or "")
     h = [xxhash.xxh64_intdigest(u.encode(), seed=42) & PRIME for u in units]
     if not h:
         return [], []
@@ -68,6 +71,35 @@ def test_match_guarantee(spark):
     assert a & b
 
 
+SCRIPTS = {"letters": "abcdefghijklmnopqrstuvwxyz", "key": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+           "han": "".join(map(chr, range(0x4E00, 0x9000))), "digits": "0123456789", "cyrillic": "".join(map(chr, range(0x430, 0x450)))}
+
+
+@pytest.mark.parametrize("script", list(SCRIPTS))
+def test_a_passage_without_blanks_is_matched_at_any_offset(spark, script):
+    rng = random.Random(5)
+    passage = "".join(rng.choices(SCRIPTS[script], k=2000))
+    before = "".join(rng.choices("xyz", k=30))
+    docs = [(i, before[:i] + passage + before[i:]) for i in range(12)]
+    rows = fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).orderBy("doc_id").collect()
+    first = set(rows[0].hashes)
+    assert all(len(first & set(r.hashes)) >= 0.9 * len(first) for r in rows)
+
+
+def test_short_shared_passages_share_a_hash(spark):
+    """From its first blank or cut character on a passage of w + k - 1 units has one."""
+    rng = random.Random(6)
+    letters = SCRIPTS["letters"]
+    docs, want = [], []
+    for i in range(60):
+        passage = "e" + " ".join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(11))
+        docs += [(2 * i, "".join(rng.choices(letters, k=rng.randint(0, 9))) + passage + " " + "".join(rng.choices(letters, k=40))),
+                 (2 * i + 1, "".join(rng.choices(letters, k=rng.randint(0, 9))) + passage + " z" * 30)]
+        want.append(i)
+    got = {r.doc_id: set(r.hashes) for r in fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[2 * i] & got[2 * i + 1] for i in want)
+
+
 def rows_of(docs):
     order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), d[1] or ""))
     out = []
