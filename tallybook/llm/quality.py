@@ -2,9 +2,8 @@
 
 Word vectors come from all documents: every word adds the sparse random +1/-1 index vectors of its
 neighbours, two on each side, to its own row. Words share ``ROWS`` rows by hash, so that the table has a
-fixed size; words in capitals share rows by their last letters. A document is the mean of its words'
-vectors, the greatest and least means over stretches of ``STRETCH`` words, and how like successive words
-are. A two-layer network in numpy gives a logit, and a temperature fitted on rows that it has not seen
+fixed size. A document is the mean of its words' vectors, the greatest and least means over stretches of
+``STRETCH`` words, how like successive words are, and what share of them is in capitals. A two-layer network in numpy gives a logit, and a temperature fitted on rows that it has not seen
 turns it into a probability.
 """
 
@@ -23,7 +22,7 @@ ROW_BITS, DIMS, NONZERO = 15, 32, 4
 ROWS = 1 << ROW_BITS
 PART = 1024          # rows of the table that travel together
 STRETCH = 64
-FEATURES = 3 * DIMS + 4
+FEATURES = 3 * DIMS + 6
 SAMPLE_ROWS = 20_000  # labelled documents the network is fitted on, by least hash of the id
 HIDDEN, EPOCHS, BATCH, SEED = 32, 40, 128, 7
 
@@ -38,18 +37,15 @@ def index_vectors() -> np.ndarray:
     return table
 
 
-def word_rows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For ranges of texts: (first text, last text, text number from first, row of the table) of every word."""
+def word_rows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For ranges of texts: (first text, last text, text number from first, row of the table, in capitals) of every word."""
     data, offsets = text_buffer(column)
     for first, last in chunks(offsets):
         piece = data[offsets[first]:offsets[last]]
         starts, ends, text = class_runs(piece, offsets[first:last + 1] - offsets[first])
         capital = np.r_[0, np.cumsum((piece >= 65) & (piece <= 90))]
         loud = (capital[ends] - capital[starts] == ends - starts) & (ends - starts > 1)
-        begin = np.where(loud, ends - 2, starts)
-        h = span_hashes(piece, begin, ends)
-        h[loud] = mix(h[loud] ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-        yield first, last, text, (h >> np.uint64(64 - ROW_BITS)).astype(np.int64)
+        yield first, last, text, (span_hashes(piece, starts, ends) >> np.uint64(64 - ROW_BITS)).astype(np.int64), loud
 
 
 def word_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
@@ -58,7 +54,7 @@ def word_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, sums, counts = index_vectors(), np.zeros((DIMS, ROWS)), np.zeros(ROWS)
         for batch in batches:
-            for _, _, text, rows in word_rows(batch.column(0)):
+            for _, _, text, rows, _ in word_rows(batch.column(0)):
                 context = np.zeros((len(rows), DIMS), np.int16)
                 for step in (1, 2):
                     if len(rows) > step:
@@ -100,7 +96,7 @@ def word_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
 def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """One row of FEATURES numbers per text; zeros for a text without words."""
     out = []
-    for first, last, text, rows in word_rows(column):
+    for first, last, text, rows, loud in word_rows(column):
         n = last - first
         features = np.zeros((n, FEATURES), np.float32)
         if len(rows):
@@ -116,7 +112,7 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
             same = np.zeros(len(rows), np.float32)
             same[1:] = rows[1:] == rows[:-1]
             same[place == 0] = 0
-            columns = np.column_stack([own, like, same])
+            columns = np.column_stack([own, like, same, loud.astype(np.float32)])
             means = np.add.reduceat(columns, starts, axis=0) / sizes
             holder = text[starts]
             full = np.flatnonzero(count > 0)
