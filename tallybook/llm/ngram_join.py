@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.components import connected_components
@@ -36,6 +36,7 @@ BLOCK = 1 << 14
 SMALL_GROUP = 64      # classes of a shingle that are paired row by row; larger groups are compared in blocks
 PROBE_BLOCK, TARGET_BLOCK = 512, 2048  # the sets of a probe block are held in memory, targets pass by
 PAIR_PART = 512
+HEAVY = 4096          # shingles counted so often (or four times the mean) are grouped by aggregates, rarer ones by a window
 BROADCAST_ROWS = 250_000  # rows of some 150 bytes
 
 
@@ -114,14 +115,16 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def prefix_rows(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
-    """(token, h, place, suffix) for the prefix of each set; a set is given once per task.
+    """(token, h, place, suffix, heavy) for the prefix of each set; a set is given once per task.
 
     ``place`` holds n above and the position below; ``suffix`` two 16-bit numbers: how many of the shingles
-    after the position lie in each half of the hash space, or -1 if one does not fit.
+    after the position lie in each half of the hash space, or -1 if one does not fit. ``heavy``: the shingle's
+    counter has come to ``HEAVY`` and to four times the mean; one that is not heavy stands in fewer rows than that.
     """
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        often = max(HEAVY, 4 * counts.value.mean())
         for batch in batches:
             out, held = [], 0
             for _, shingles in shingle_sets(batch.column(0), width):
@@ -137,7 +140,8 @@ def prefix_rows(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
                 lower = n - 1 - np.arange(p) - upper
                 packed = lower | upper << 16
                 packed[np.maximum(lower, upper) > 0xFFFF] = -1
-                out.append((ordered[:p].view(np.int64), np.full(p, h, np.int64), (n << 32) + np.arange(p), packed))
+                out.append((ordered[:p].view(np.int64), np.full(p, h, np.int64), (n << 32) + np.arange(p), packed,
+                            counts.value[_buckets(ordered[:p])] >= often))
                 held += p
                 if held > 200_000:
                     yield columns(out)
@@ -147,9 +151,23 @@ def prefix_rows(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
 
     def columns(out):
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
-                                          names=["token", "h", "place", "suffix"])
+                                          names=["token", "h", "place", "suffix", "heavy"])
 
-    return docs.select("text").mapInArrow(rows, "token bigint, h bigint, place bigint, suffix bigint")
+    return docs.select("text").mapInArrow(rows, "token bigint, h bigint, place bigint, suffix bigint, heavy boolean")
+
+
+def shared_members(prefixes: DataFrame) -> DataFrame:
+    """(token, h, place, suffix, hub) of the shingles that two or more classes have, once per class; hub: the least class.
+
+    The rows of shingles that are not heavy, nearly all, move once: a group of them is small and stands in one task.
+    Those of heavy ones are counted by a partial aggregate and joined, which a task too large is split for.
+    """
+    light, heavy = prefixes.where("not heavy").drop("heavy"), prefixes.where("heavy").drop("heavy")
+    own = Window.partitionBy("token")
+    light = light.withColumns({"hub": F.min("h").over(own), "last": F.max("h").over(own)}).where("hub < last").drop("last")
+    hubs = heavy.groupBy("token").agg(F.min("h").alias("hub"), F.max("h").alias("last")).where("hub < last").drop("last")
+    once = [F.min(c).alias(c) for c in ("place", "suffix", "hub")]
+    return light.groupBy("token", "h").agg(*once).unionByName(heavy.join(hubs, "token").groupBy("token", "h").agg(*once))
 
 
 def may_link(a: str, b: str, percent: int) -> Column:
@@ -301,10 +319,7 @@ class JaccardJoin:
         self.reps = sets.where("n > 0").groupBy("h").agg(F.min("id").alias("id"))
 
         prefixes = self.keep(prefix_rows(self.docs, self.counts, self.width, self.percent), "prefixes")
-        shared = (prefixes.groupBy("token").agg(F.min("h").alias("hub"), F.max("h").alias("last"))
-                  .where("hub < last").drop("last"))
-        members = self.keep(prefixes.join(shared, "token").groupBy("token", "h").agg(
-            F.min("place").alias("place"), F.min("suffix").alias("suffix"), F.min("hub").alias("hub")), "members")
+        members = self.keep(shared_members(prefixes), "members")
         self.remove("prefixes")
 
         a, b = members.alias("a"), members.alias("b")
