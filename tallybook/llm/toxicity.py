@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.textkit import LOWER, span_hashes, spans, text_buffer, chunks
 
-SAMPLE_ROWS = 6_000   # labelled documents the models are fitted on, by least hash of the id
+SAMPLE_ROWS = 12_000   # labelled documents the models are fitted on, by least hash of the id
 TERMS = 4096
 LEAST_DOCS = 5
 FOLDS = 5
@@ -72,6 +72,13 @@ class Linear:
             b = b - rate * mb / (np.sqrt(sb / fix) + 1e-8)
         self.w, self.v, self.b = w * scale, v, b
 
+    @classmethod
+    def of(cls, w: np.ndarray, v: np.ndarray, b: float) -> Linear:
+        """A fitted model from its weights."""
+        model = cls.__new__(cls)
+        model.w, model.v, model.b = w, v, b
+        return model
+
     def probability(self, doc, term, dense):
         return sigmoid(np.bincount(doc, weights=self.w[term], minlength=len(dense)) + dense @ self.v + self.b)
 
@@ -154,8 +161,8 @@ def fit_chain(doc: np.ndarray, term: np.ndarray, labels: dict[str, np.ndarray],
     return chain
 
 
-def labelled_terms(docs: DataFrame, labels: DataFrame, categories: list[str], rows: int = SAMPLE_ROWS):
-    """(doc, term, labels, fold) of at most ``rows`` labelled documents, those with the least hashes of their id."""
+def labelled_terms(docs: DataFrame, labels: DataFrame, categories: list[str], rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Terms, key and labels of at most ``rows`` labelled documents, those with the least hashes of their id."""
     chosen = (labels.where(" and ".join(f"`{c}` is not null" for c in categories)).where("id is not null")
               .groupBy("id").agg(*[F.max(c).alias(c) for c in categories])
               .withColumn("key", F.xxhash64("id")).orderBy("key", "id").limit(rows))
@@ -172,21 +179,44 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, categories: list[str], ro
 
     sample = docs.join(F.broadcast(chosen), "id").select(  # SAMPLE_ROWS rows at most
         "text", "key", *[F.col(c).cast("double").alias(c) for c in categories])
-    got = sample.mapInArrow(extract, "terms binary, key bigint, " + ", ".join(f"`{c}` double" for c in categories)).collect()
-    got.sort(key=lambda r: (r.key, r.terms))
-    parts = [np.frombuffer(r.terms, np.uint32) for r in got]
-    marks, fold = {c: np.array([r[c] for r in got]) for c in categories}, np.array([r.key % FOLDS for r in got], np.int64)
-    del got
+    return sample.mapInArrow(extract, "terms binary, key bigint, " + ", ".join(f"`{c}` double" for c in categories))
+
+
+def fit_rows(batches: Iterable[pa.RecordBatch], categories: list[str], severe: str | None) -> ToxicityChain:
+    """The chain fitted on the rows of ``labelled_terms``, whatever their order."""
+    rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))]
+    rows.sort(key=lambda r: (r[1], r[0]))
+    parts = [np.frombuffer(r[0], np.uint32) for r in rows]
+    marks = {c: np.array([r[i] for r in rows]) for i, c in enumerate(categories, 2)}
     doc = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
-    return doc, np.concatenate(parts) if parts else np.empty(0, np.uint32), marks, fold
+    term = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+    return fit_chain(doc, term, marks, np.array([r[1] % FOLDS for r in rows], np.int64), severe)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], id_column: str = "doc_id",
-                   text_column: str = "text", severe: str | None = "severe") -> ToxicityChain:
-    """Fit a chain on a bounded sample of ``labels`` (id, one 0/1 column per category); unlabelled rows are not used."""
+                   text_column: str = "text", severe: str | None = "severe", rows: int = SAMPLE_ROWS) -> ToxicityChain:
+    """Fit a chain on at most ``rows`` rows of ``labels`` (id, one 0/1 column per category); unlabelled rows are not used.
+
+    One task fits it, on that many rows whatever the input; the driver gets the weights. Null ids and null labels are
+    left out, of repeated labels the greatest counts; without any rows the chain has no models.
+    """
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     marks = labels.select(F.col(id_column).alias("id"), *categories)
-    return fit_chain(*labelled_terms(own, marks, categories), severe=severe)
+
+    def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain = fit_rows(batches, categories, severe)
+        names = chain.categories
+        columns = [pa.array([chain.terms.astype("<u4").tobytes()] * len(names), pa.binary()), pa.array(names, pa.string())]
+        weights = [(m.w.tobytes(), m.v.tobytes(), float(m.b)) for m in chain.models] or [(None, None, None)] * len(names)
+        columns += [pa.array(c, t) for c, t in zip(zip(*weights), (pa.binary(), pa.binary(), pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["terms", "category", "w", "v", "b"])
+
+    sample = labelled_terms(own, marks, categories, rows).repartition(1)
+    got = sample.mapInArrow(fit, "terms binary, category string, w binary, v binary, b double").collect()
+    if not got:
+        return ToxicityChain(np.empty(0, np.uint32), categories + ([severe] if severe else []), [])
+    models = [Linear.of(np.frombuffer(r.w), np.frombuffer(r.v), r.b) for r in got if r.w is not None]
+    return ToxicityChain(np.frombuffer(got[0].terms, "<u4"), [r.category for r in got], models)
 
 
 def score_toxicity(docs: DataFrame, chain: ToxicityChain, text_column: str = "text") -> DataFrame:
