@@ -16,9 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybook.session import scratch_dir
+
 SLOTS = 1000
 RANGES = 4096   # ranges of the hash that each source is ranked by
 BLOCK_ROWS = 16
+BANDS = 16  # bands of slots for each shuffle partition, from which equal partitions are made
+LAST_SLOT = 1 << 62  # where sources without a weight begin
 
 
 def weights_by_power(counts: dict[str, int], power: float = 0.5) -> dict[str, float]:
@@ -73,6 +77,10 @@ def period_table(spark, parts: dict[str, int]) -> DataFrame:
     return slots.join(rows, "i").select("source", "parts", F.col("turn").cast("long"), F.col("slot").cast("long"))
 
 
+def _range(key: Column) -> Column:
+    return F.pmod(F.shiftright(key, 48), F.lit(RANGES))
+
+
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source_column: str = "source",
                 key: Column | None = None, block_rows: int = BLOCK_ROWS, power: float = 0.5) -> DataFrame:
     """``docs`` with mix_slot, mix_offset (place in the slot's block) and mix_block (block of its source).
@@ -83,11 +91,10 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
     a source rows are ordered by a hash of ``key`` (default: all columns), equal rows in any order. No row
     is dropped; an empty table stays empty; columns of docs with the new names are replaced.
     """
-    spark = docs.sparkSession
     columns = [c for c in docs.columns if c not in ("mix_slot", "mix_offset", "mix_block")]
     key = F.xxhash64(*[F.col(c) for c in columns]) if key is None else F.xxhash64(key)
     rows = docs.select(*columns, F.coalesce(F.col(source_column), F.lit("")).alias("__source"), key.alias("__key"))
-    rows = rows.withColumn("__range", F.pmod(F.shiftright("__key", 48), F.lit(RANGES)))
+    rows = rows.withColumn("__range", _range(F.col("__key")))
     counts = rows.groupBy("__source", "__range").agg(F.count(F.lit(1)).alias("__n"))
     if weights is None:
         sizes = counts.groupBy("__source").agg(F.sum("__n").alias("n"))
@@ -101,15 +108,70 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
               .withColumn("__rank", F.col("__before") + F.col("__row") - 1)
               .withColumn("mix_block", F.expr(f"__rank div {block_rows}"))
               .withColumn("mix_offset", F.col("__rank") % block_rows))
-    if not parts:
-        placed = ranked.withColumn("mix_slot", F.col("mix_block"))
-    else:
-        sizes = F.create_map(*[x for s, p in sorted(parts.items()) for x in (F.lit(s), F.lit(p).cast("long"))])
-        slots = period_table(spark, parts).select(F.col("source").alias("__source"), F.col("turn").alias("__turn"), F.col("slot").alias("__slot"))
-        ranked = ranked.withColumn("__parts", sizes[F.col("__source")])
-        ranked = ranked.withColumn("__turn", F.expr("mix_block % __parts"))
-        period = sum(parts.values())
-        last = F.lit(1 << 62)
-        placed = ranked.join(F.broadcast(slots), ["__source", "__turn"], "left").withColumn(  # SLOTS rows at most
-            "mix_slot", F.coalesce(F.expr(f"(mix_block div __parts) * {period} + __slot"), last + F.col("mix_block")))
+    placed = _with_slots(ranked, parts)
     return placed.select(*columns, "mix_slot", "mix_offset", "mix_block")
+
+
+def _with_slots(ranked: DataFrame, parts: dict[str, int]) -> DataFrame:
+    """``ranked`` (__source, mix_block) with mix_slot."""
+    if not parts:
+        return ranked.withColumn("mix_slot", F.col("mix_block"))
+    sizes = F.create_map(*[x for s, p in sorted(parts.items()) for x in (F.lit(s), F.lit(p).cast("long"))])
+    slots = period_table(ranked.sparkSession, parts).select(
+        F.col("source").alias("__source"), F.col("turn").alias("__turn"), F.col("slot").alias("__slot"))
+    ranked = ranked.withColumn("__parts", sizes[F.col("__source")])
+    ranked = ranked.withColumn("__turn", F.expr("mix_block % __parts"))
+    period = sum(parts.values())
+    return ranked.join(F.broadcast(slots), ["__source", "__turn"], "left").withColumn(  # a row per slot of a period
+        "mix_slot", F.coalesce(F.expr(f"(mix_block div __parts) * {period} + __slot"), F.lit(LAST_SLOT) + F.col("mix_block")))
+
+
+def _parts(docs: DataFrame, source: Column, weights: dict[str, float] | None, power: float) -> dict[str, int]:
+    """Whole parts by the weights, by size if none are given."""
+    if weights is None:
+        sizes = docs.groupBy(source.alias("s")).agg(F.count(F.lit(1)).alias("n"))
+        weights = weights_by_power({r.s: r.n for r in sizes.collect()}, power)  # one row per source
+    return whole_parts({s or "": w for s, w in weights.items()})
+
+
+def in_mix_order(docs: DataFrame, weights: dict[str, float] | None = None, source_column: str = "source",
+                 key: Column | None = None, block_rows: int = BLOCK_ROWS, power: float = 0.5) -> DataFrame:
+    """``docs`` in the order that ``mix_sources`` gives: every row of a partition stands before those of the next.
+
+    Whole rows move once, or twice where the planner does not broadcast the table of bands (a row per source and range of the
+    hash). The order is first worked out for source and key alone; of that, only where each band of slots
+    begins in each source and range of the hash goes back to the rows, which are dealt out by band and find
+    their slots there by counting on. Rows with one key stay in one band. Nulls, empty tables and weights as in ``mix_sources``.
+    """
+    spark = docs.sparkSession
+    source = F.coalesce(F.col(source_column), F.lit(""))
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]) if key is None else key
+    parts = _parts(docs, source, weights, power)
+    by = {s: float(p) for s, p in parts.items()}
+    folder = scratch_dir(spark, "mix")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    hashed = F.xxhash64("k")
+    places = kept(mix_sources(docs.select(source.alias("source"), key.alias("k")), by, "source", F.col("k"), block_rows)
+                  .select(F.col("source").alias("__source"), hashed.alias("__key"), _range(hashed).alias("__range"), "mix_slot",
+                          (F.col("mix_block") * block_rows + F.col("mix_offset")).alias("rank")), "places")
+    last = places.where(F.col("mix_slot") < LAST_SLOT).agg(F.max("mix_slot")).first()[0] or 0
+    width = max(last // (BANDS * int(spark.conf.get("spark.sql.shuffle.partitions"))), 1)
+    ties = places.groupBy("__source", "__range", "__key").agg(F.min("rank").alias("rank"), F.expr(f"min(mix_slot) div {width}").alias("band"))
+    begins = ties.groupBy("__source", "__range", "band").agg(F.min("__key").alias("from"), F.min("rank").alias("rank"))
+    cells = kept(begins.groupBy("__source", "__range").agg(
+        F.sort_array(F.collect_list(F.struct("from", "band", "rank"))).alias("__bands")), "cells")
+
+    own = docs.select("*", source.alias("__source"), F.xxhash64(key).alias("__key"))
+    own = own.withColumn("__range", _range(F.col("__key"))).join(cells, ["__source", "__range"])
+    own = own.withColumn("__at", F.element_at(F.filter("__bands", lambda b: b["from"] <= F.col("__key")), -1)).drop("__bands")
+    own = own.withColumn("__band", F.col("__at.band")).repartitionByRange("__band")
+    nth = F.row_number().over(Window.partitionBy("__band", "__source", "__range").orderBy("__key"))
+    ranked = own.withColumn("__rank", F.col("__at.rank") + nth - 1)
+    ranked = ranked.withColumn("mix_block", F.expr(f"__rank div {block_rows}"))
+    placed = _with_slots(ranked, parts)
+    return placed.sortWithinPartitions("__band", "mix_slot", F.col("__rank") % block_rows).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

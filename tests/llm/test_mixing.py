@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallybook.llm import queries
-from tallybook.llm.mixing import mix_sources, period_table, schedule_sql, whole_parts
+from tallybook.llm.mixing import in_mix_order, mix_sources, period_table, schedule_sql, whole_parts
 
 
 def plain_schedule(parts):
@@ -92,3 +92,33 @@ def test_query_against_plain_version(spark):
 def test_period_table_has_every_turn(spark):
     got = period_table(spark, {"a": 3, "b": 2}).collect()
     assert sorted((r.source, r.turn) for r in got) == [("a", 0), ("a", 1), ("a", 2), ("b", 0), ("b", 1)]
+
+
+def rows_in_order(df, columns):
+    return [tuple(r[c] for c in columns) for r in df.collect()]
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 3.0, "b": 1.0}, {}])
+def test_documents_in_the_order_of_the_mix(spark, weights):
+    rows = [(i, "a" if i % 3 else "b" if i % 2 else None, f"text {i}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = in_mix_order(docs, weights, key=F.col("doc_id"))
+        assert ordered.columns == docs.columns and ordered.rdd.getNumPartitions() > 3
+        got = rows_in_order(ordered, docs.columns)
+        plan = ordered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = mix_sources(docs, weights, key=F.col("doc_id")).orderBy("mix_slot", "mix_offset")
+    assert got == rows_in_order(want, docs.columns)
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") - plan.count("REPARTITION") <= 2  # the slots' own, and this frame's
+
+
+def test_order_of_the_mix_with_repeated_ids_nulls_and_no_rows(spark):
+    rows = [(i % 40 if i % 7 else None, "a" if i % 2 else "b", f"t{i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = rows_in_order(in_mix_order(docs, key=F.col("doc_id")), docs.columns)
+    assert sorted(map(repr, got)) == sorted(map(repr, rows))
+    assert in_mix_order(docs.limit(0), key=F.col("doc_id")).count() == 0
+    assert in_mix_order(docs).count() == 600
