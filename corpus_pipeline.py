@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.mixing import mix_sources
+from tallybook.llm.mixing import in_mix_order
 from tallybook.llm.ngram_join import near_duplicate_classes
 from tallybook.llm.packing import pack_documents
 from tallybook.llm.queries import vocabulary
@@ -48,13 +48,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its secrets masked. Null and empty texts, repeated rows and an empty table stay as they are."""
     return redact(docs, length_column="n_chars").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in the order of the mix."""
-    mixed = mix_sources(docs, key=F.col("doc_id"))
-    return mixed.orderBy("mix_slot", "mix_offset").select(*docs.columns)
+    """Every document, in the order of the mix. Nulls and repeated rows stay; an empty table stays empty."""
+    return in_mix_order(docs, key=F.col("doc_id"))
 
 
 def in_written_order(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -72,7 +72,10 @@ def in_written_order(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ascending sequence_id follows the mix, as far as the open sequences of a partition reach."""
+    """Ascending sequence_id follows the mix, as far as the open sequences of a partition reach.
+
+    A null text counts as empty and gives one piece; repeated rows are packed one by one; an empty table gives no rows.
+    """
     rows = in_written_order(docs, ["doc_id", "text"])
     return pack_documents(rows, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"),
                           keep_order=True)
