@@ -24,6 +24,7 @@ SAMPLE_ROWS = 12_000   # labelled documents the models are fitted on, by least h
 TERMS = 4096
 LEAST_DOCS = 5
 FOLDS = 5
+EARLIER_PENALTY = 3e-3  # holds the weight of an earlier probability down where it tells nothing
 PREFIXES = (4, 5, 6)
 NOT_ALNUM = np.ones(256, bool)
 NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -62,7 +63,7 @@ class Linear:
             z = np.bincount(doc, weights=w[term] * scale[term], minlength=n) + dense @ v + b
             error = (sigmoid(z) - y) / n
             gw = np.bincount(term, weights=error[doc], minlength=terms) * scale + penalty * w
-            gv, gb = dense.T @ error + penalty * v, error.sum()
+            gv, gb = dense.T @ error + EARLIER_PENALTY * v, error.sum()
             mw, mv, mb = 0.9 * mw + 0.1 * gw, 0.9 * mv + 0.1 * gv, 0.9 * mb + 0.1 * gb
             sw, sv, sb = 0.99 * sw + 0.01 * gw**2, 0.99 * sv + 0.01 * gv**2, 0.99 * sb + 0.01 * gb**2
             rate = 0.1 / (1 - 0.9**t)
@@ -124,14 +125,15 @@ def telling_terms(doc, term, y, most=TERMS, least=LEAST_DOCS) -> np.ndarray:
 
 def fit_chain(doc: np.ndarray, term: np.ndarray, labels: dict[str, np.ndarray], fold: np.ndarray,
               severe: str | None = None) -> ToxicityChain:
-    """Chain over ``labels`` in their order; ``severe`` names a further category derived from the first.
+    """Chain over ``labels`` in their order; ``severe`` names a category derived from the first, which the chain begins with.
 
-    The derived category holds the positive documents of the first with at least as many telling positive
-    terms as half of them have. ``fold`` gives each document's fold.
+    The derived category holds the positive documents of the first label with at least as many telling positive
+    terms as half of them have; the models of the labels, whose verdict counts, then see its probability. ``fold`` gives
+    each document's fold.
     """
     labels = {name: y.astype(float) for name, y in labels.items()}
     if not labels or not len(fold):
-        return ToxicityChain(np.empty(0, np.uint32), list(labels) + ([severe] if severe else []), [])
+        return ToxicityChain(np.empty(0, np.uint32), ([severe] if severe else []) + list(labels), [])
     first = next(iter(labels))
     chosen = [telling_terms(doc, term, y, TERMS // len(labels)) for y in labels.values()]
     chain = ToxicityChain(np.unique(np.concatenate(chosen)), [], [])
@@ -141,7 +143,8 @@ def fit_chain(doc: np.ndarray, term: np.ndarray, labels: dict[str, np.ndarray],
         y = labels[first]
         share = np.bincount(index, weights=y[doc], minlength=len(chain.terms)) / np.maximum(np.bincount(index, minlength=len(chain.terms)), 1)
         count = np.bincount(doc, weights=(share > 0.5)[index], minlength=n)
-        labels[severe] = ((y == 1) & (count >= np.median(count[y == 1]))).astype(float) if y.any() else np.zeros(n)
+        derived = ((y == 1) & (count >= np.median(count[y == 1]))).astype(float) if y.any() else np.zeros(n)
+        labels = {severe: derived} | labels
     earlier = np.zeros((n, 0))
     for name, y in labels.items():
         out_of_fold = np.zeros(n)
@@ -214,7 +217,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], id
     sample = labelled_terms(own, marks, categories, rows).repartition(1)
     got = sample.mapInArrow(fit, "terms binary, category string, w binary, v binary, b double").collect()
     if not got:
-        return ToxicityChain(np.empty(0, np.uint32), categories + ([severe] if severe else []), [])
+        return ToxicityChain(np.empty(0, np.uint32), ([severe] if severe else []) + categories, [])
     models = [Linear.of(np.frombuffer(r.w), np.frombuffer(r.v), r.b) for r in got if r.w is not None]
     return ToxicityChain(np.frombuffer(got[0].terms, "<u4"), [r.category for r in got], models)
 

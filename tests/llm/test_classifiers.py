@@ -20,11 +20,15 @@ def test_toxicity_on_held_out_labels(spark, tables):
     docs, labels = tables
     held_out = F.col("doc_id") % 5 == 0
     chain = train_toxicity(docs, labels.where(~held_out), ["toxic"])
-    assert chain.categories == ["toxic", "severe"]
+    assert chain.categories == ["severe", "toxic"] and chain.models[1].v.shape == (1,)
     rows = score_toxicity(docs.where(held_out), chain).join(labels, "doc_id").select("toxic", "quality", "p_toxic", "p_severe").collect()
     toxic = [r.p_toxic >= 0.5 for r in rows if r.toxic == 1 and r.quality == 1]
     clean = [r.p_toxic >= 0.5 for r in rows if r.toxic == 0]
     assert np.mean(toxic) > 0.95 and np.mean(clean) < 0.005
+    # Of junk that is marked toxic many texts hold no such word, so that nothing in them tells.
+    every = [r.p_toxic >= 0.5 for r in rows if r.toxic == 1]
+    print(f"recall of toxic rows: {np.mean(toxic):.3f} of quality 1, {np.mean(every):.3f} of all")
+    assert np.mean(every) > 0.85
     assert all(0 <= r.p_severe <= 1 for r in rows)
 
 
@@ -35,7 +39,7 @@ def test_later_models_see_out_of_fold_predictions():
     term = rng.integers(0, 300, 6 * n).astype(np.uint32)
     noise = rng.integers(0, 2, n)  # nothing to learn: in-fold predictions would look telling all the same
     chain = fit_chain(doc, term, {"first": noise, "second": noise}, np.arange(n) % 5)
-    assert chain.models[1].v[0] < 2  # out of fold they look useless, or a little worse
+    assert abs(chain.models[1].v[0]) < 2  # out of fold they look useless, or a little worse
     assert len(chain.models) == 2 and chain.categories == ["first", "second"]
 
 
