@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +33,11 @@ from tallybook.session import scratch_dir
 
 SLOTS = 1 << 20  # the cache of stretches: a newer one takes the slot of an older one
 POOL = 1 << 22  # tokens kept for cached stretches; beyond it the cache starts anew. Both bound memory, not results
+TOGETHER = 256  # stretches that go to B in one text
 CHUNK_CHARS = 1 << 17
 BLOCK_LINKS = 1 << 20  # links of one block; a longer text is a block by itself
 BLOCK_BITS = 33  # blocks of one partition; the number of the partition stands above them
-FENCE = "\x01"  # stands before a stretch that is given to B alone; no longer piece holds it
+FENCE = "\x01"  # stands before each stretch that is given to B; no longer piece holds it
 LOW_LINE = "▁"  # what a piece of B has for a blank
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
@@ -45,7 +45,7 @@ COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 class Stretches:
     """Tokens (id, first, end: offsets from the stretch's start) of stretches of text, each distinct one encoded once.
 
-    ``encode(stretches)`` gives the three lists for each.
+    ``encode(stretches)`` gives how many tokens each has, and the three lists for all of them.
     """
 
     def __init__(self, encode: Callable):
@@ -69,14 +69,13 @@ class Stretches:
         if len(fresh):
             distinct, first, back = np.unique(keys[fresh], return_index=True, return_inverse=True)
             first = fresh[first]
-            got = self.encode([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
-            new_size = np.fromiter((len(g[0]) for g in got), np.int64, len(got))
+            sizes, *rows = self.encode([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+            new_size = np.asarray(sizes, np.int64)
             new_at = self.used + np.cumsum(new_size) - new_size
             end = self.used + int(new_size.sum())
             if end > self.pool.shape[1]:
                 self.pool = np.concatenate([self.pool, np.empty((3, end - self.pool.shape[1] + POOL // 4), np.int32)], axis=1)
-            for row in range(3):
-                self.pool[row, self.used:end] = np.fromiter(chain.from_iterable(g[row] for g in got), np.int32, end - self.used)
+            self.pool[:, self.used:end] = rows
             self.used = end
             at[fresh], size[fresh] = new_at[back], new_size[back]
             spot = slot[first]
@@ -93,16 +92,6 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Spans:
-    """Ids and byte offsets of a proto of B, behind the fence."""
-
-    def __init__(self, proto):
-        pieces = proto.pieces
-        self.ids = [p.id for p in pieces]
-        self.first = [p.begin - 1 for p in pieces]
-        self.end = [p.end - 1 for p in pieces]
-
-
 class ByteLevelTokens:
     """Tokens of A over chunks of texts; offsets are characters."""
 
@@ -118,12 +107,17 @@ class ByteLevelTokens:
         self.kinds = category_table()
         self.cache = Stretches(self._encode)
 
-    def _encode(self, stretches: list[str]) -> list[tuple]:
-        found = []
+    def _encode(self, stretches: list[str]) -> tuple[list, list, list, list]:
+        sizes, ids, spans = [], [], []
+        encode = self.model.encode
         for text in stretches:
-            got = self.model.encode(text, add_special_tokens=False)
-            found.append((got.ids, *zip(*got.offsets)))
-        return found
+            got = encode(text, add_special_tokens=False)
+            own = got.ids
+            sizes.append(len(own))
+            ids += own
+            spans += got.offsets
+        first, end = zip(*spans) if spans else ((), ())
+        return sizes, ids, first, end
 
     def tokens(self, joined: str, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """(id, first, end) of all tokens, offsets within the chunk."""
@@ -160,8 +154,12 @@ class PieceTokens:
             for x, y in zip(p, p[1:]):
                 if ord(x) < 256 and ord(y) < 256:
                     self.joins[ord(x), ord(y)] = True
-        if any(FENCE in p and p != FENCE for p in text) or len(self._encoded([""])[0].ids) != 2:
+        if any(FENCE in p and p != FENCE for p in text):
             raise ValueError(f"{model_path} has longer pieces with the character U+0001")
+        fence = self._spans(FENCE)[0]
+        if len(fence) != 1:
+            raise ValueError(f"{model_path} has no token for the character U+0001")
+        self.fence = int(fence[0])
         self.cache = Stretches(self._encode)
 
     @cached_property
@@ -175,12 +173,38 @@ class PieceTokens:
                 continue
         raise RuntimeError("this release of sentencepiece gives no spans")
 
-    def _encoded(self, stretches: list[str]) -> list:
-        return [Spans(p) for p in self.model.encode([FENCE + t for t in stretches], num_threads=1, **self.proto)]
-
-    def _encode(self, stretches: list[str]) -> list[tuple]:
-        """A stretch follows a fence, so that B adds no blank to it; the tokens of that blank and the fence are left out."""
-        return [(g.ids[2:], g.first[2:], g.end[2:]) for g in self._encoded(stretches)]
+    def _spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and byte offsets of the tokens of a text, without the blank that B adds to one that begins with a fence."""
+        pieces = self.model.encode([text], num_threads=1, **self.proto)[0].pieces
+        n = len(pieces)
+        return (np.fromiter((p.id for p in pieces), np.int64, n)[1:], np.fromiter((p.begin for p in pieces), np.int64, n)[1:],
+                np.fromiter((p.end for p in pieces), np.int64, n)[1:])
+
+    def _encode(self, stretches: list[str]) -> tuple[np.ndarray, ...]:
+        """Stretches go to B together, each behind a fence, so that B adds no blank to it; those that hold one go alone."""
+        sizes = np.zeros(len(stretches), np.int64)
+        order, parts = [], []
+        plain = [i for i, t in enumerate(stretches) if FENCE not in t]
+        for begin in range(0, len(plain), TOGETHER):
+            some = plain[begin:begin + TOGETHER]
+            ids, first, end = self._spans("".join(FENCE + stretches[i] for i in some))
+            fences = np.flatnonzero(ids == self.fence)
+            counts = np.diff(np.r_[fences, len(ids)]) - 1
+            start = np.repeat(end[fences], counts)
+            own = ids != self.fence
+            sizes[some] = counts
+            order += some
+            parts.append((ids[own], first[own] - start, end[own] - start))
+        for i in set(range(len(stretches))) - set(plain):
+            ids, first, end = self._spans(FENCE + stretches[i])
+            sizes[i] = len(ids) - 1
+            order.append(i)
+            parts.append((ids[1:], first[1:] - 1, end[1:] - 1))
+        rows = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 3
+        if order != sorted(order):  # back into the order of the stretches
+            of = np.repeat(order, sizes[order])
+            rows = [r[np.argsort(of, kind="stable")] for r in rows]
+        return sizes, *rows
 
     def tokens(self, joined: str, codes: np.ndarray, offsets: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
         """(id, first, end) of all tokens; ``places``: the byte at which each character begins."""
