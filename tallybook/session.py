@@ -54,9 +54,14 @@ def build_session(app_name: str, data_bytes: int | None = None, master: str | No
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``, or below the warehouse where that is not set."""
+    """This application's folder below ``spark.checkpoint.dir``, or below the warehouse where that is not set.
+
+    On a cluster a warehouse on the driver's own disk is refused: executors would not see its files.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     base = shared.rstrip("/") if shared else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not shared and not spark.sparkContext.master.startswith("local") and (base.startswith(("/", "file:")) or ":" not in base):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share; {base} is the driver's own")
     return f"{base}/{spark.sparkContext.applicationId}"
 
 

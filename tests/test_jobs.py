@@ -310,12 +310,17 @@ def test_scratch_folder(spark):
 
     class Session:
         class sparkContext:
-            applicationId = "x"
+            applicationId, master = "x", "yarn"
 
     Session.conf = Conf({"spark.checkpoint.dir": "hdfs://shared/tmp/"})
     assert scratch_root(Session) == "hdfs://shared/tmp/x"
     Session.conf = Conf({"spark.sql.warehouse.dir": "hdfs://warehouse"})
     assert scratch_root(Session) == "hdfs://warehouse/_scratch/x"
+    Session.conf = Conf({"spark.sql.warehouse.dir": "file:/home/user/spark-warehouse"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session)
+    Session.sparkContext.master = "local[4]"
+    assert scratch_root(Session) == "file:/home/user/spark-warehouse/_scratch/x"
     path = scratch_dir(spark, "small")
     assert read_text(spark, path) is None
     assert create_text(spark, path, "one é") and not create_text(spark, path, "two")
