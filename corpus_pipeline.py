@@ -23,7 +23,7 @@ from tallybook.llm.packing import pack_documents
 from tallybook.llm.queries import vocabulary
 from tallybook.llm.secret_scan import redact
 from tallybook.llm.toxicity import score_toxicity, train_toxicity
-from tallybook.session import scratch_dir
+from tallybook.session import remove, scratch_dir
 
 ORACLE_SQL = None
 
@@ -86,11 +86,14 @@ STAGES = [("toxicity", drop_toxic), ("ngram_jaccard_join", drop_near_duplicates)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; what each but the last returns is a table in the shared folder."""
-    folder = scratch_dir(spark, "pipeline")
+    """All stages on ``documents``; what each but the last returns is a table in the shared folder, until the next is there."""
+    folder, before = scratch_dir(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{folder}/{name}")
         docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
