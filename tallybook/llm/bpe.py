@@ -52,7 +52,7 @@ class PieceTokenizer:
             self.fast = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.one = self.fast._core_bpe.encode_single_piece
         self.table = category_table()
-        self.clear()
+        self.release()
 
     def clear(self) -> None:
         self.keys = np.zeros(SLOTS, np.uint64)
@@ -61,6 +61,10 @@ class PieceTokenizer:
         self.pool = np.empty(POOL_IDS + POOL_IDS // 2, np.uint32)
         self.used = 0
 
+    def release(self) -> None:
+        """Let go of the cache; the next text begins a new one."""
+        self.keys = self.at = self.size = self.pool = None
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts, counts = [], np.zeros(len(texts), np.int64)
         begin = 0
@@ -127,7 +131,7 @@ class PieceTokenizer:
     def places(self, joined: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """Where in the pool the ids of each piece begin, and how many they are; new pieces are encoded and added."""
         keys = span_hashes(codes, starts, ends) ^ (ends - starts).astype(np.uint64)
-        if self.used > POOL_IDS:
+        if self.keys is None or self.used > POOL_IDS:
             self.clear()
         slot = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
         at, size = self.at[slot], self.size[slot]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.components import connected_components
-from tallybook.llm.textkit import mix, shingle_sets
+from tallybook.llm.textkit import lean, mix, shingle_sets
 from tallybook.session import scratch_dir
 
 COUNTER_BITS = 21
@@ -82,7 +82,7 @@ def scan_documents(docs: DataFrame, width: int) -> DataFrame:
             none = [None] * len(parts)
             yield rows(none, none, none, list(range(len(parts))), parts)
 
-    return docs.select("id", "text").mapInArrow(scan, f"id {id_type}, n bigint, h bigint, block int, counts binary")
+    return docs.select("id", "text").mapInArrow(lean(scan), f"id {id_type}, n bigint, h bigint, block int, counts binary")
 
 
 def add_counters(blocks: DataFrame) -> np.ndarray:
@@ -100,7 +100,7 @@ def add_counters(blocks: DataFrame) -> np.ndarray:
                                              names=["block", "counts"])
 
     total = np.zeros(1 << COUNTER_BITS, np.uint32)
-    for row in blocks.repartition("block").mapInArrow(add, "block int, counts binary").collect():
+    for row in blocks.repartition("block").mapInArrow(lean(add), "block int, counts binary").collect():
         total[row.block * BLOCK:(row.block + 1) * BLOCK] = np.frombuffer(row.counts, "<u4")
     return total
 
@@ -153,7 +153,7 @@ def prefix_rows(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
                                           names=["token", "h", "place", "suffix", "heavy"])
 
-    return docs.select("text").mapInArrow(rows, "token bigint, h bigint, place bigint, suffix bigint, heavy boolean")
+    return docs.select("text").mapInArrow(lean(rows), "token bigint, h bigint, place bigint, suffix bigint, heavy boolean")
 
 
 def shared_members(prefixes: DataFrame) -> DataFrame:
@@ -257,7 +257,7 @@ def verified(rows: DataFrame, counts, width: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
     parts = rows.repartition("key", "part").sortWithinPartitions("key", "part", F.col("probe").desc(), "h")
-    return parts.select("key", "part", "probe", "h", "comp", "pos", "text").mapInArrow(check, "a bigint, b bigint")
+    return parts.select("key", "part", "probe", "h", "comp", "pos", "text").mapInArrow(lean(check), "a bigint, b bigint")
 
 
 class JaccardJoin:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.bpe import tokenizer
+from tallybook.llm.textkit import lean
 
 SEQUENCE_BITS = 33  # sequences of one partition; the number of the partition stands above them
 
@@ -106,7 +107,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
     limit = 1 << 23  # ids in one batch of rows
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(json_path, ranks_path).encode
+        tokens = tokenizer(json_path, ranks_path)
         bins = OpenBins(capacity, open_bins)
         base = TaskContext.get().partitionId() << SEQUENCE_BITS
         rows: list[tuple] = []
@@ -134,7 +135,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
             texts = batch.column(1).to_pylist()
             for begin in range(0, len(texts), 256):
                 part = [t or "" for t in texts[begin:begin + 256]]
-                ids, counts = encode(part)
+                ids, counts = tokens.encode(part)
                 at = 0
                 for key, n in zip(keys[begin:begin + 256], counts.tolist()):
                     own = np.append(ids[at:at + n], np.uint32(end_id)).astype("<u4")
@@ -147,9 +148,10 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
                 if held >= limit:
                     yield emit()
                     rows, held = [], 0
+        tokens.release()
         for bin_ in sorted(bins.rest(), key=lambda b: b[0][1][0]) if keep_order else bins.finish():
             close(bin_)
         if rows:
             yield emit()
 
-    return docs.select(F.col(id_column), F.col(text_column)).mapInArrow(pack, schema)
+    return docs.select(F.col(id_column), F.col(text_column)).mapInArrow(lean(pack), schema)

@@ -6,7 +6,8 @@ vector operations over pieces of about ``CHUNK`` bytes, so memory does not depen
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,29 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def give_back() -> None:
+    """Return the memory that numpy and Arrow have freed to the system (what glibc keeps, where that is the C library)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(task: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``task``, for mapInArrow, after which its worker gives freed memory back.
+
+    Spark keeps workers for later tasks: what an idle one holds is missing beside the heap of its executor.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def powers(multiplier: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """multiplier**i and its inverse (mod 2**64) for i below n at least."""
     up, down = _powers.get(multiplier, (np.empty(0, np.uint64),) * 2)

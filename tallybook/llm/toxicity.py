@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.textkit import LOWER, span_hashes, spans, text_buffer, chunks
+from tallybook.llm.textkit import LOWER, chunks, lean, span_hashes, spans, text_buffer
 
 SAMPLE_ROWS = 12_000   # labelled documents the models are fitted on, by least hash of the id
 TERMS = 4096
@@ -182,7 +182,7 @@ def labelled_terms(docs: DataFrame, labels: DataFrame, categories: list[str], ro
 
     sample = docs.join(F.broadcast(chosen), "id").select(  # SAMPLE_ROWS rows at most
         "text", "key", *[F.col(c).cast("double").alias(c) for c in categories])
-    return sample.mapInArrow(extract, "terms binary, key bigint, " + ", ".join(f"`{c}` double" for c in categories))
+    return sample.mapInArrow(lean(extract), "terms binary, key bigint, " + ", ".join(f"`{c}` double" for c in categories))
 
 
 def fit_rows(batches: Iterable[pa.RecordBatch], categories: list[str], severe: str | None) -> ToxicityChain:
@@ -215,7 +215,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], id
         yield pa.RecordBatch.from_arrays(columns, names=["terms", "category", "w", "v", "b"])
 
     sample = labelled_terms(own, marks, categories, rows).repartition(1)
-    got = sample.mapInArrow(fit, "terms binary, category string, w binary, v binary, b double").collect()
+    got = sample.mapInArrow(lean(fit), "terms binary, category string, w binary, v binary, b double").collect()
     if not got:
         return ToxicityChain(np.empty(0, np.uint32), ([severe] if severe else []) + categories, [])
     models = [Linear.of(np.frombuffer(r.w), np.frombuffer(r.v), r.b) for r in got if r.w is not None]
@@ -246,4 +246,4 @@ def score_toxicity(docs: DataFrame, chain: ToxicityChain, text_column: str = "te
     schema = docs.select(*columns).schema
     for name in names:
         schema = schema.add(name, "double")
-    return docs.select(*columns).mapInArrow(score, schema)
+    return docs.select(*columns).mapInArrow(lean(score), schema)
