@@ -9,11 +9,14 @@ SALTS = 8
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """``edges`` (u, v) with ``low``: the least v of each u. A u with very many edges is spread over salts."""
+    """``edges`` (u, v) with ``low``: the least v of each u. A u with very many edges is spread over salts.
+
+    The planner takes the salted rows for an eighth of what they are, so it is not left to broadcast them.
+    """
     low = edges.groupBy("u").agg(F.min("v").alias("low"))
     low = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    return salted.join(low, ["u", "salt"]).drop("salt")
+    return salted.join(low.hint("merge"), ["u", "salt"]).drop("salt")
 
 
 def connected_components(links: DataFrame, folder: str) -> DataFrame:

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallybook.llm.components import connected_components
 from tallybook.llm.textkit import lean, mix, shingle_sets
@@ -37,7 +38,7 @@ SMALL_GROUP = 64      # classes of a shingle that are paired row by row; larger
 PROBE_BLOCK, TARGET_BLOCK = 512, 2048  # the sets of a probe block are held in memory, targets pass by
 PAIR_PART = 512
 HEAVY = 4096          # shingles counted so often (or four times the mean) are grouped by aggregates, rarer ones by a window
-BROADCAST_ROWS = 250_000  # rows of some 150 bytes
+FILTER_BITS = 26      # at most; 8 MB on the driver and in each worker
 
 
 def set_hash(shingles: np.ndarray) -> int:
@@ -260,6 +261,43 @@ def verified(rows: DataFrame, counts, width: int, percent: int) -> DataFrame:
     return parts.select("key", "part", "probe", "h", "comp", "pos", "text").mapInArrow(lean(check), "a bigint, b bigint")
 
 
+def marked(ids: DataFrame, n: int) -> np.ndarray:
+    """A table of bits, eight a byte, that has the bit of each hash in ``ids`` (at: bigint): the hash's upper bits are its number.
+
+    About 16 bits for each of ``n`` rows, up to ``FILTER_BITS`` in their number's binary digits. It is put together by tasks.
+    """
+    bits = min(FILTER_BITS, max(10, (16 * n).bit_length()))
+    size = 1 << bits - 3
+
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(size, np.uint8)
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            np.bitwise_or.at(table, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        blocks = [i for i in range(0, size, BLOCK) if table[i:i + BLOCK].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([table[i:i + BLOCK].tobytes() for i in blocks], pa.binary())],
+                                         names=["first", "bytes"])
+
+    places = ids.select(F.shiftrightunsigned("at", 64 - bits).alias("at")).repartition(F.shiftright("at", 3 + BLOCK.bit_length() - 1))
+    table = np.zeros(size, np.uint8)
+    for row in places.mapInArrow(lean(mark), "first bigint, bytes binary").collect():
+        table[row.first:row.first + BLOCK] |= np.frombuffer(row.bytes, np.uint8)
+    return table
+
+
+def among(rows: DataFrame, table) -> DataFrame:
+    """The rows whose hash (last column, left out) has its bit in ``table``, the broadcast of ``marked``: all that it was made of, and few others."""
+
+    def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = table.value
+            at = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64) >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)
+            found = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            yield batch.select(batch.schema.names[:-1]).filter(pa.array(found))
+
+    return rows.mapInArrow(lean(pick), StructType(rows.schema.fields[:-1]))
+
+
 class JaccardJoin:
     """The steps of the join, each written to the shared folder and read back."""
 
@@ -277,11 +315,15 @@ class JaccardJoin:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def with_text(self, rows: DataFrame, name: str) -> DataFrame:
-        """``rows`` with the text of one document of each class; few rows are sent to the documents, many meet them by id."""
+        """``rows`` with the text of one document of each class.
+
+        The documents are thinned out by a table of bits of bounded size, and only what is left meets the rows by
+        id: neither the rows pass through the driver, whatever their number, nor all texts through a shuffle.
+        """
         rows = self.keep(rows.join(self.reps, "h"), name)
-        if rows.count() <= BROADCAST_ROWS:
-            rows = F.broadcast(rows)
-        return self.docs.select("id", "text").join(rows, "id")
+        own = F.xxhash64("id").alias("at")
+        table = self.spark.sparkContext.broadcast(marked(rows.select(own), rows.count()))
+        return among(self.docs.select("id", "text", own), table).join(rows.hint("merge"), "id")
 
     def verify_pairs(self, pairs: DataFrame, name: str) -> DataFrame:
         """Links among pairs (a, b); the pairs of one b are dealt out by parts of about ``PAIR_PART``."""

@@ -4,10 +4,12 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import ngram_join, queries
-from tallybook.llm.components import connected_components
+from tallybook.llm.components import _with_least, connected_components
 from tallybook.llm.ngram_join import near_duplicate_classes
 from tallybook.session import scratch_dir
 
@@ -95,3 +97,33 @@ def test_components_of_long_chains(spark):
     got = {r.node: r.root for r in connected_components(frame, scratch_dir(spark, "chain")).collect()}
     for chain in (nodes[:180], nodes[180:]):
         assert {got.get(x, x) for x in chain} == {min(chain)}
+
+
+def test_no_growing_table_is_broadcast(spark):
+    """However few the rows are here: what grows with the documents stays with the executors."""
+    docs = spark.createDataFrame([(k, f"text number {k}") for k in range(40)], "id long, text string")
+    job = ngram_join.JaccardJoin(docs, 5, 75)
+    job.reps = docs.select((F.col("id") + 100).alias("h"), "id")
+    texts = job.with_text(spark.createDataFrame([(h, True) for h in (101, 117, 117, 139, 999)], "h long, probe boolean"), "some")
+    edges = _with_least(spark.createDataFrame([(9, 1), (9, 2), (4, 2)], "u long, v long"))
+    assert sorted((r.id, r.h, r.text) for r in texts.collect()) == [(k, k + 100, f"text number {k}") for k in (1, 17, 17, 39)]
+    assert sorted(map(tuple, edges.select("u", "v", "low").collect())) == [(4, 2, 2), (9, 1, 1), (9, 2, 1)]
+    for frame in (texts, edges):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [0, 3, 5000, 60_000])
+def test_the_table_of_bits_has_all_that_it_was_made_of(spark, monkeypatch, n):
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", 19)
+    rows = spark.range(100_000).withColumn("at", F.xxhash64("id"))
+    table = ngram_join.marked(rows.where(F.col("id") < n).select("at"), n)
+    assert len(table) == 1 << min(19, max(10, (16 * n).bit_length())) - 3
+    found = {r.id for r in ngram_join.among(rows, type("Held", (), {"value": table})).collect()}
+    assert found >= set(range(n)) and len(found) - n <= (100_000 - n) * min(1.2 * n / (8 * len(table)), 1) + 20
+    assert np.unpackbits(table).sum() <= n
+
+
+def test_few_bits_give_the_same_classes(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", 10)
+    docs = list(enumerate(t for s in range(150) for t in family(s, 6, words=30)))
+    assert run(spark, docs) == plain(docs)
